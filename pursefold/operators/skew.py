@@ -1,0 +1,76 @@
+"""Joins that stay balanced when a few keys hold most of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A hot key holds more than 1/MAX_HOT_KEYS of all rows, so there are fewer than
+# MAX_HOT_KEYS of them whatever the data size: that is what bounds the broadcasts below.
+MAX_HOT_KEYS = 20_000
+# Groups below this size are never worth treating apart.
+MIN_HOT_ROWS = 200_000
+# Largest side, in rows, that is broadcast whole.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
+
+
+def hot_groups(
+    sizes: DataFrame,
+    max_hot_keys: int = MAX_HOT_KEYS,
+    min_hot_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Rows of ``sizes`` whose ``group_rows`` is a large share of the total.
+
+    Fewer than ``max_hot_keys`` rows by construction.
+    """
+    total = sizes.agg(F.sum("group_rows").alias("n")).scalar()
+    size = F.col("group_rows")
+    return sizes.filter((size > min_hot_rows) & (size * max_hot_keys > total))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Bounded check: reads no further than ``max_rows`` + 1 rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    sizes: DataFrame | None = None,
+    max_hot_keys: int = MAX_HOT_KEYS,
+    min_hot_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Inner join of ``df`` with ``lookup``, which has one row per key.
+
+    Rows of hot keys meet a broadcast of the few lookup rows they need and are
+    not shuffled at all; the rest is a plain shuffled join in which no key is
+    large. ``sizes`` may give the group sizes of ``df`` when already known.
+    """
+    keys = list(keys)
+    if sizes is None:
+        sizes = group_sizes(df, keys)
+    hot = hot_groups(sizes, max_hot_keys, min_hot_rows).select(*keys)
+    hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
+    hot_rows = df.join(F.broadcast(hot_lookup), keys)
+    other_rows = df.join(F.broadcast(hot), keys, "left_anti").join(lookup, keys)
+    return hot_rows.unionByName(other_rows)
+
+
+def small_lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Inner join with a lookup expected to be small; its size is checked first."""
+    keys = list(keys)
+    if fits_broadcast(lookup, max_broadcast_rows):
+        return df.join(F.broadcast(lookup), keys)
+    return lookup_join(df, lookup, keys)
