@@ -13,7 +13,13 @@ from operator import or_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pursefold.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_groups, lookup_join
+from pursefold.operators.skew import (
+    MAX_HOT_KEYS,
+    MIN_HOT_ROWS,
+    hot_keys,
+    lookup_join,
+    split_hot,
+)
 
 
 def any_null(keys: Sequence[str]):
@@ -94,50 +100,45 @@ def keep_last_ties(
 ) -> DataFrame:
     """Every row standing at its key's last time, with the key's first time.
 
-    Same rows as a min and a max over the whole key followed by a filter. Rows
-    of hot keys are filtered where they are read; for the others ``rank`` = 1
-    lets Spark drop earlier rows before the shuffle.
+    Same rows as a min and a max over the whole key followed by a filter.
+    ``rank`` = 1 lets Spark drop earlier rows before the shuffle; rows of hot
+    keys are filtered where they are read, as even their ties could be many.
     """
     spans = spans.filter(F.col(key).isNotNull())
-    ends = spans.groupBy(key).agg(
-        F.min(first).alias("first_of_key"),
-        F.max(last).alias("last_of_key"),
-        F.count(F.lit(1)).alias("group_rows"),
-    )
-    ends = ends.filter(F.col("last_of_key").isNotNull())
-    hot = F.broadcast(hot_groups(ends, max_hot_keys, min_hot_rows))
-    at_end = F.col(last) == F.col("last_of_key")
     shape = [F.col("first_of_key").alias(c) if c == first else F.col(c) for c in spans.columns]
+    hot = hot_keys(spans, key, max_hot_keys, min_hot_rows)
+    hot_rows, other_rows = split_hot(spans, key, hot) if hot else (None, spans)
 
-    hot_rows = spans.join(hot, key).filter(at_end).select(*shape)
     newest_first = Window.partitionBy(key).orderBy(F.col(last).desc())
-    other_rows = (
-        spans.join(hot, key, "left_anti")
-        .withColumn("place", F.rank().over(newest_first))
-        .filter(F.col("place") == 1)
-        .join(ends, key)
+    starts = other_rows.groupBy(key).agg(F.min(first).alias("first_of_key"))
+    kept = (
+        other_rows.withColumn("place", F.rank().over(newest_first))
+        .filter((F.col("place") == 1) & F.col(last).isNotNull())
+        .join(starts, key)
         .select(*shape)
     )
-    return hot_rows.unionByName(other_rows)
+    if hot_rows is None:
+        return kept
+    ends = hot_rows.groupBy(key).agg(
+        F.min(first).alias("first_of_key"), F.max(last).alias("last_of_key")
+    )
+    hot_kept = hot_rows.join(F.broadcast(ends), key).filter(F.col(last) == F.col("last_of_key"))
+    return kept.unionByName(hot_kept.select(*shape))
 
 
 def with_group_min(
     df: DataFrame,
-    keys: Sequence[str],
+    key: str,
     value: str,
     max_hot_keys: int = MAX_HOT_KEYS,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Replace ``value`` by its minimum over the key, keeping every row with a full key.
+    """Replace ``value`` by its minimum over the key, keeping every row that has a key.
 
     An aggregate joined back rather than a window, since a window would bring
     all rows of one key into one task.
     """
-    keys = list(keys)
-    full, _ = split_null_keys(df, keys)
-    lows = full.groupBy(*keys).agg(
-        F.min(value).alias("low"), F.count(F.lit(1)).alias("group_rows")
-    )
-    sizes = lows.select(*keys, "group_rows")
-    joined = lookup_join(full, lows.drop("group_rows"), keys, sizes, max_hot_keys, min_hot_rows)
+    full = df.filter(F.col(key).isNotNull())
+    lows = full.groupBy(key).agg(F.min(value).alias("low"))
+    joined = lookup_join(full, lows, key, max_hot_keys, min_hot_rows)
     return joined.select(*[F.col("low").alias(c) if c == value else F.col(c) for c in df.columns])

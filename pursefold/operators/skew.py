@@ -2,75 +2,80 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A hot key holds more than 1/MAX_HOT_KEYS of all rows, so there are fewer than
-# MAX_HOT_KEYS of them whatever the data size: that is what bounds the broadcasts below.
-MAX_HOT_KEYS = 20_000
+# MAX_HOT_KEYS of them whatever the data size: that bounds every broadcast of hot keys.
+MAX_HOT_KEYS = 4_000
+# Counters of the frequency sketch. It finds every key above 1/12000 of the rows.
+SKETCH_ITEMS = 16_384
 # Groups below this size are never worth treating apart.
 MIN_HOT_ROWS = 200_000
-# Largest side, in rows, that is broadcast whole.
+# Largest lookup, in rows, that is broadcast whole.
 MAX_BROADCAST_ROWS = 500_000
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
+def hot_keys(
+    df: DataFrame, key: str, max_hot_keys: int = MAX_HOT_KEYS, min_hot_rows: int = MIN_HOT_ROWS
+) -> list:
+    """The keys holding a large share of the rows, usually none.
 
+    A sketch of one column, combined map-side, so nothing is shuffled by key.
+    It is computed at once, not as part of a later plan: whoever splits the
+    rows by it must see the same keys on both sides of the split. Results never
+    depend on which keys are found.
+    """
+    found = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {max_hot_keys}, {max(SKETCH_ITEMS, max_hot_keys)})").alias(
+            "top"
+        ),
+        F.count(F.lit(1)).alias("total"),
+    ).first()
+    floor = max(min_hot_rows, found.total / max_hot_keys)
+    return [key for key, n_rows in found.top if key is not None and n_rows > floor]
 
-def hot_groups(
-    sizes: DataFrame,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    min_hot_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
-    """Rows of ``sizes`` whose ``group_rows`` is a large share of the total.
 
-    Fewer than ``max_hot_keys`` rows by construction.
-    """
-    total = sizes.agg(F.sum("group_rows").alias("n")).scalar()
-    size = F.col("group_rows")
-    return sizes.filter((size > min_hot_rows) & (size * max_hot_keys > total))
+def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
+    """(rows of the hot keys, other rows), without a shuffle."""
+    hot_frame = df.sparkSession.createDataFrame(
+        [(value,) for value in hot], df.select(key).schema
+    )
+    hot_frame = F.broadcast(hot_frame)
+    return df.join(hot_frame, key, "left_semi"), df.join(hot_frame, key, "left_anti")
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Bounded check: reads no further than ``max_rows`` + 1 rows."""
+    """Bounded check: counts no further than ``max_rows`` + 1 rows."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
-    keys: Sequence[str],
-    sizes: DataFrame | None = None,
+    key: str,
     max_hot_keys: int = MAX_HOT_KEYS,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Inner join of ``df`` with ``lookup``, which has one row per key.
 
     Rows of hot keys meet a broadcast of the few lookup rows they need and are
-    not shuffled at all; the rest is a plain shuffled join in which no key is
-    large. ``sizes`` may give the group sizes of ``df`` when already known.
+    not shuffled at all; the rest is a shuffled join in which no key is large.
     """
-    keys = list(keys)
-    if sizes is None:
-        sizes = group_sizes(df, keys)
-    hot = hot_groups(sizes, max_hot_keys, min_hot_rows).select(*keys)
-    hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
-    hot_rows = df.join(F.broadcast(hot_lookup), keys)
-    other_rows = df.join(F.broadcast(hot), keys, "left_anti").join(lookup, keys)
-    return hot_rows.unionByName(other_rows)
+    hot = hot_keys(df, key, max_hot_keys, min_hot_rows)
+    if not hot:
+        return df.join(lookup, key)
+    hot_rows, other_rows = split_hot(df, key, hot)
+    hot_lookup, other_lookup = split_hot(lookup, key, hot)
+    return hot_rows.join(F.broadcast(hot_lookup), key).unionByName(
+        other_rows.join(other_lookup, key)
+    )
 
 
 def small_lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    df: DataFrame, lookup: DataFrame, key: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
     """Inner join with a lookup expected to be small; its size is checked first."""
-    keys = list(keys)
     if fits_broadcast(lookup, max_broadcast_rows):
-        return df.join(F.broadcast(lookup), keys)
-    return lookup_join(df, lookup, keys)
+        return df.join(F.broadcast(lookup), key)
+    return lookup_join(df, lookup, key)

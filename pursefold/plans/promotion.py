@@ -21,7 +21,7 @@ def promotion_with_campaign(
 
     ``campaigns`` has one row per id; promotions of unknown campaigns drop out.
     """
-    joined = small_lookup_join(promotions, campaigns, ["campaign_id"], max_broadcast_rows)
+    joined = small_lookup_join(promotions, campaigns, "campaign_id", max_broadcast_rows)
     return joined.withColumn(
         "voucher_expire", voucher_expire(F.col("time_s"), F.col("expire_secs"))
     )
@@ -29,7 +29,7 @@ def promotion_with_campaign(
 
 def voucher_expiry_min(claims: DataFrame) -> DataFrame:
     """Give every claim the earliest ``voucher_expire`` of its voucher code."""
-    return with_group_min(claims, ["voucher_code"], "voucher_expire")
+    return with_group_min(claims, "voucher_code", "voucher_expire")
 
 
 def actual_expiry(claims: DataFrame) -> DataFrame:
