@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold.functions.parsing import to_second
+from pursefold.schemas import CAMPAIGNS, PROMOTIONS, TRANSACTIONS, USERS, Entity
+from pursefold.sources.tsv import day_path
 
 # Transaction types of the bound event types; anything else is type 5.
 EVENT_TRANS_TYPES = {"click": 1, "view": 2, "purchase": 3, "signup": 4}
@@ -147,3 +149,30 @@ def transactions_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("bigint").cast("string").alias("amount"),
         (k % 7).cast("string").alias("pmcId"),
     )
+
+
+# Store dates given to the base load and the update when written as daily files.
+SOURCE_DAYS = ("2024-02-01", "2024-02-02")
+
+
+def write_source_days(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The bound entities as two days of tab-separated source files, and the campaigns."""
+
+    def write(df: DataFrame, entity: Entity, path: str) -> None:
+        times = {f.name for f in entity.fields if f.kind == "time"}
+        columns = [
+            (F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSS") if f.name in times else F.col(f.name))
+            .alias(f.header)
+            for f in entity.fields
+        ]
+        df.select(*columns).write.csv(path, sep="\t", header=True)
+
+    bound = {
+        USERS: users(spark, sf_dir),
+        TRANSACTIONS: transactions(spark, sf_dir),
+        PROMOTIONS: promotions(spark, sf_dir),
+    }
+    for entity, df in bound.items():
+        for day, part in zip(SOURCE_DAYS, base_and_update(df)):
+            write(part, entity, day_path(root, entity, day))
+    write(campaigns(spark, sf_dir), CAMPAIGNS, f"{root}/{CAMPAIGNS.folder}")

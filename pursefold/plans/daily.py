@@ -5,11 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pursefold.operators.audit import require_key, stage_counts
 from pursefold.operators.keyed import split_null_keys
-from pursefold.operators.merge import merge_pairs
 from pursefold.plans import activity, profile, promotion
 from pursefold.schemas import (
     ACTIVE,
@@ -58,7 +56,8 @@ def run_day(
     """
     as_of = store_date if as_of is None else as_of
     flags = day_flags(spark, source_root, store_date)
-    stages: dict[str, DataFrame] = {}
+    landed: dict[str, DataFrame] = {}
+    sizes: list[tuple[str, int]] = []
 
     def land(entity):
         """Write the day to the lake; later steps read it back from there."""
@@ -69,34 +68,33 @@ def run_day(
             lake.write_raw_day(rows, lake_root, entity, store_date)
         day = lake.read_lake_day(spark, lake_root, entity, store_date)
         full, rejected = split_null_keys(day, entity.key)
-        stages[f"{entity.folder}.rows"] = day
-        stages[f"{entity.folder}.rejected"] = rejected
+        landed[f"{entity.folder}.rows"] = day
+        landed[f"{entity.folder}.rejected"] = rejected
         return full
 
-    def publish(target: Target, merge):
-        state.publish(merge(state.read(target)), target, str(store_date))
-        stages[f"{target.name}.rows"] = state.read(target)
+    def update(target: Target, merge):
+        n_rows = state.update(target, merge, str(store_date))
+        sizes.append((f"{target.name}.rows", n_rows))
 
     if flags[USERS.folder]:
         users = land(USERS)
-        publish(USER_INFO, lambda old: profile.profile_update(old, users))
+        update(USER_INFO, lambda old: profile.profile_update(old, users))
 
     if flags[TRANSACTIONS.folder]:
         txn = land(TRANSACTIONS)
-        publish(PAYMENT, lambda old: activity.payment_update(old, txn, mode))
-        publish(ACTIVE, lambda old: activity.activity_update(old, txn, mode))
-        publish(USER_APP, lambda old: merge_pairs(old, activity.user_apps(txn)))
-        publish(USER_PMC, lambda old: merge_pairs(old, activity.user_payment_sources(txn)))
+        update(PAYMENT, lambda old: activity.payment_update(old, txn, mode))
+        update(ACTIVE, lambda old: activity.activity_update(old, txn, mode))
+        update(USER_APP, lambda old: activity.user_apps_update(old, txn))
+        update(USER_PMC, lambda old: activity.user_payment_sources_update(old, txn))
 
     if flags[PROMOTIONS.folder]:
         promotions = land(PROMOTIONS)
         campaigns = tsv.read_campaigns(spark, f"{source_root}/{CAMPAIGNS.folder}")
         require_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
-        publish(
+        update(
             USER_PROMOTION,
             lambda old: promotion.promotion_update(old, promotions, campaigns, as_of),
         )
 
-    if not stages:
-        return spark.createDataFrame([], "stage string, n bigint")
-    return stage_counts(**stages)
+    report = spark.createDataFrame(sizes, "stage string, n bigint")
+    return report.unionByName(stage_counts(**landed)) if landed else report

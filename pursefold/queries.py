@@ -5,6 +5,8 @@ Times leave as zone-free timestamps, the form the tables' own times have.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -16,9 +18,20 @@ from pursefold.operators import audit
 from pursefold.operators.cleaning import clean_transactions
 from pursefold.operators.keyed import keep_last_ties, seed_first_last, split_null_keys
 from pursefold.operators.merge import merge_first_last_ties
-from pursefold.plans import activity, profile, promotion
-from pursefold.schemas import TRANSACTIONS
-from pursefold.sources.tsv import typed
+from pursefold.plans import activity, daily, profile, promotion
+from pursefold.schemas import (
+    ACTIVE,
+    PAYMENT,
+    PAYMENT_TYPE,
+    TRANSACTIONS,
+    USER_APP,
+    USER_INFO,
+    USER_PMC,
+    USER_PROMOTION,
+)
+from pursefold.sources import lake
+from pursefold.sources.state import StateStore
+from pursefold.sources.tsv import read_entity, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,3 +284,50 @@ def stage_counts(spark, sf_dir):
     return audit.stage_counts(
         transactions=txn, successful=clean, payments=activity.payments(clean)
     )
+
+
+# Sources, lake, snapshots and the daily run
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """A new folder where the session keeps its checkpoints."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{shared}/pursefold-{uuid.uuid4().hex}"
+
+
+@query
+def daily_run(spark, sf_dir):
+    """All six tables after two daily runs over source files, summed up per user."""
+    folder = _shared_folder(spark)
+    source, state = f"{folder}/source", StateStore(spark, f"{folder}/state")
+    b.write_source_days(spark, sf_dir, source)
+    for day in b.SOURCE_DAYS:
+        daily.run_day(spark, source, f"{folder}/lake", state, day, as_of=b.PROMOTION_AS_OF)
+    count = F.count(F.lit(1))
+    apps = state.read(USER_APP).groupBy("user_id").agg(count.alias("n_apps"))
+    sources = state.read(USER_PMC).groupBy("user_id").agg(count.alias("n_sources"))
+    promotions = state.read(USER_PROMOTION).groupBy("user_id").agg(
+        count.alias("n_promotions"), F.count_if("expired").alias("n_expired")
+    )
+    per_user = state.read(USER_INFO)
+    for part in (state.read(PAYMENT), state.read(ACTIVE), apps, sources, promotions):
+        per_user = per_user.join(part, "user_id", "full")
+    return per_user
+
+
+@query
+def backfilled_lake_days(spark, sf_dir):
+    """Totals per lake day after loading all source days at once, then one day again."""
+    folder = _shared_folder(spark)
+    source, lake_root = f"{folder}/source", f"{folder}/lake"
+    b.write_source_days(spark, sf_dir, source)
+    lake.backfill(spark, source, lake_root, TRANSACTIONS)
+    day = b.SOURCE_DAYS[0]
+    again = read_entity(spark, source, TRANSACTIONS, day)
+    lake.write_clean_day(again, lake_root, day)
+    days = lake.read_lake(spark, lake_root, TRANSACTIONS)
+    return days.groupBy("store_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("amount").alias("amount"),
+        F.count_if(F.col("trans_type") == PAYMENT_TYPE).alias("n_payments"),
+    )

@@ -8,6 +8,8 @@ One writer per table at a time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,18 +50,35 @@ class StateStore:
             return self.spark.createDataFrame([], target.ddl)
         return self.spark.read.schema(target.ddl).parquet(self._data_path(target, version))
 
-    def publish(self, table: DataFrame, target: Target, store_date: str | None = None) -> int:
-        """Write ``table`` as the next version, check its key, then make it current."""
-        version = self.current_version(target) + 1
+    def publish(
+        self,
+        table: DataFrame,
+        target: Target,
+        store_date: str | None = None,
+        after: int | None = None,
+    ) -> int:
+        """Write ``table`` as the version following ``after`` (the current one), check its
+        key, then make it current. Returns its row count."""
+        version = (self.current_version(target) if after is None else after) + 1
         path = self._data_path(target, version)
         columns = [F.col(name).cast(kind) for name, kind in target.columns.items()]
         table.select(*columns).write.mode("overwrite").parquet(path)
         written = self.spark.read.schema(target.ddl).parquet(path)
         n_rows = require_key(written, target.key, target.name)
-        entry = self.spark.range(1).select(
+        entry = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.lit(store_date).cast("date").alias("store_date"),
             F.lit(n_rows).cast("bigint").alias("n_rows"),
         )
-        entry.coalesce(1).write.mode("append").parquet(self._versions_path(target))
-        return version
+        entry.write.mode("append").parquet(self._versions_path(target))
+        return n_rows
+
+    def update(
+        self,
+        target: Target,
+        merge: Callable[[DataFrame], DataFrame],
+        store_date: str | None = None,
+    ) -> int:
+        """Publish ``merge`` of the current table. Returns the new row count."""
+        current = self.current_version(target)
+        return self.publish(merge(self.read(target, current)), target, store_date, current)
