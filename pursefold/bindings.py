@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pursefold.functions.parsing import to_second
 from pursefold.schemas import CAMPAIGNS, PROMOTIONS, TRANSACTIONS, USERS, Entity
 from pursefold.sources.tsv import day_path
 
@@ -78,7 +77,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(F.lit("1960-01-01").cast("date"), 150 * _prop_k()).alias("birthdate"),
         (_prop_k() % 4).alias("profile_level"),
         (_prop_k() % 2).alias("gender"),
-        to_second(F.col("ts").cast("timestamp")).alias("updated_time"),
+        F.col("ts").cast("timestamp").alias("updated_time"),
         "event_id",
         _event_is_new().alias("is_new"),
     )

@@ -1,7 +1,7 @@
 """Reductions to one row (or the tied rows) per key.
 
-All of them aggregate map-side first, so a key holding a large share of the
-rows costs each task one partial row instead of one task all its rows.
+They aggregate map-side first, so a key holding a large share of the rows costs
+each task one partial row; where rows must be kept, hot keys are treated apart.
 """
 
 from __future__ import annotations
@@ -10,14 +10,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pursefold.operators.skew import (
     MAX_HOT_KEYS,
     MIN_HOT_ROWS,
     hot_keys,
-    lookup_join,
     split_hot,
 )
 
@@ -98,32 +97,12 @@ def keep_last_ties(
     max_hot_keys: int = MAX_HOT_KEYS,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Every row standing at its key's last time, with the key's first time.
-
-    Same rows as a min and a max over the whole key followed by a filter.
-    ``rank`` = 1 lets Spark drop earlier rows before the shuffle; rows of hot
-    keys are filtered where they are read, as even their ties could be many.
-    """
-    spans = spans.filter(F.col(key).isNotNull())
-    shape = [F.col("first_of_key").alias(c) if c == first else F.col(c) for c in spans.columns]
-    hot = hot_keys(spans, key, max_hot_keys, min_hot_rows)
-    hot_rows, other_rows = split_hot(spans, key, hot) if hot else (None, spans)
-
-    newest_first = Window.partitionBy(key).orderBy(F.col(last).desc())
-    starts = other_rows.groupBy(key).agg(F.min(first).alias("first_of_key"))
-    kept = (
-        other_rows.withColumn("place", F.rank().over(newest_first))
-        .filter((F.col("place") == 1) & F.col(last).isNotNull())
-        .join(starts, key)
-        .select(*shape)
-    )
-    if hot_rows is None:
-        return kept
-    ends = hot_rows.groupBy(key).agg(
-        F.min(first).alias("first_of_key"), F.max(last).alias("last_of_key")
+    """Every row standing at its key's last time, with the key's first time."""
+    ends = {"first_of_key": F.min(first), "last_of_key": F.max(last)}
+    spread = _with_group_values(spans, key, ends, max_hot_keys, min_hot_rows)
+    return spread.filter(F.col(last) == F.col("last_of_key")).select(
+        *[F.col("first_of_key").alias(c) if c == first else F.col(c) for c in spans.columns]
     )
-    hot_kept = hot_rows.join(F.broadcast(ends), key).filter(F.col(last) == F.col("last_of_key"))
-    return kept.unionByName(hot_kept.select(*shape))
 
 
 def with_group_min(
@@ -133,12 +112,26 @@ def with_group_min(
     max_hot_keys: int = MAX_HOT_KEYS,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Replace ``value`` by its minimum over the key, keeping every row that has a key.
+    """Replace ``value`` by its minimum over the key, keeping every row that has a key."""
+    spread = _with_group_values(df, key, {"low": F.min(value)}, max_hot_keys, min_hot_rows)
+    return spread.select(*[F.col("low").alias(c) if c == value else F.col(c) for c in df.columns])
 
-    An aggregate joined back rather than a window, since a window would bring
-    all rows of one key into one task.
+
+def _with_group_values(
+    df: DataFrame, key: str, values: dict[str, Column], max_hot_keys: int, min_hot_rows: int
+) -> DataFrame:
+    """Add aggregates over the key to each of its rows; rows without a key drop out.
+
+    A window brings all rows of a key into one task, so it serves only keys of
+    moderate size. The values of hot keys come from an aggregate, broadcast to
+    their rows where they are read.
     """
-    full = df.filter(F.col(key).isNotNull())
-    lows = full.groupBy(key).agg(F.min(value).alias("low"))
-    joined = lookup_join(full, lows, key, max_hot_keys, min_hot_rows)
-    return joined.select(*[F.col("low").alias(c) if c == value else F.col(c) for c in df.columns])
+    df = df.filter(F.col(key).isNotNull())
+    hot = hot_keys(df, key, max_hot_keys, min_hot_rows)
+    hot_rows, other_rows = split_hot(df, key, hot) if hot else (None, df)
+    whole_key = Window.partitionBy(key)
+    spread = other_rows.withColumns({name: v.over(whole_key) for name, v in values.items()})
+    if hot_rows is None:
+        return spread
+    of_hot = hot_rows.groupBy(key).agg(*[v.alias(name) for name, v in values.items()])
+    return spread.unionByName(hot_rows.join(F.broadcast(of_hot), key))
