@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold.functions.parsing import PARSERS
@@ -45,17 +45,21 @@ def require_key(df: DataFrame, keys: Sequence[str], name: str) -> int:
     return faults.n_rows
 
 
+def loss_metrics(entity: Entity) -> list[Column]:
+    """Per field, an aggregate counting cells whose text cannot be read as their type."""
+    return [
+        F.count_if(F.col(f.header).isNotNull() & PARSERS[f.kind](F.col(f.header)).isNull()).alias(
+            f.name
+        )
+        for f in entity.fields
+        if f.kind != "text"
+    ]
+
+
 def parse_losses(raw: DataFrame, entity: Entity) -> DataFrame:
-    """(field, lost): cells with text that could not be read as their type, per field."""
-    fields = [f for f in entity.fields if f.kind != "text"]
-    lost = raw.agg(
-        *[
-            F.count_if(F.col(f.header).isNotNull() & PARSERS[f.kind](F.col(f.header)).isNull())
-            .alias(f.name)
-            for f in fields
-        ]
-    )
-    pairs = [F.struct(F.lit(f.name).alias("field"), F.col(f.name).alias("lost")) for f in fields]
+    """(field, lost): cells with unreadable text, per field."""
+    lost = raw.agg(*loss_metrics(entity))
+    pairs = [F.struct(F.lit(name).alias("field"), F.col(name).alias("lost")) for name in lost.columns]
     return lost.select(F.inline(F.array(*pairs)))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 4_000
 # Counters of the frequency sketch. It finds every key above 1/12000 of the rows.
 SKETCH_ITEMS = 16_384
+SKETCH_MERGERS = 256
 # Groups below this size are never worth treating apart.
 MIN_HOT_ROWS = 200_000
 # Largest lookup, in rows, that is broadcast whole.
@@ -21,19 +22,26 @@ def hot_keys(
 ) -> list:
     """The keys holding a large share of the rows, usually none.
 
-    A sketch of one column, combined map-side, so nothing is shuffled by key.
-    It is computed at once, not as part of a later plan: whoever splits the
-    rows by it must see the same keys on both sides of the split. Results never
-    depend on which keys are found.
+    A frequency sketch of one column per task, merged in two steps so that no
+    task merges all of them; no row is shuffled. It is computed at once, not as
+    part of a later plan: whoever splits the rows by it must see the same keys
+    on both sides of the split. Results never depend on which keys are found.
     """
-    found = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {max_hot_keys}, {max(SKETCH_ITEMS, max_hot_keys)})").alias(
-            "top"
-        ),
-        F.count(F.lit(1)).alias("total"),
-    ).first()
-    floor = max(min_hot_rows, found.total / max_hot_keys)
-    return [key for key, n_rows in found.top if key is not None and n_rows > floor]
+    items = max(SKETCH_ITEMS, max_hot_keys)
+    sketches = df.groupBy((F.spark_partition_id() % SKETCH_MERGERS).alias("merger")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {items})").alias("sketch"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+    # Grouped by a constant: without rows there is no sketch to combine, so no group either.
+    found = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {items})").alias("sketch"),
+        F.sum("n_rows").alias("total"),
+    ).select(F.expr(f"approx_top_k_estimate(sketch, {max_hot_keys})").alias("top"), "total")
+    row = found.first()
+    if row is None:
+        return []
+    floor = max(min_hot_rows, row.total / max_hot_keys)
+    return [key for key, n_rows in row.top if key is not None and n_rows > floor]
 
 
 def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
@@ -46,8 +54,7 @@ def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Bounded check: counts no further than ``max_rows`` + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def lookup_join(

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from pursefold.operators.audit import require_key, stage_counts
+from pursefold.operators.audit import loss_metrics, require_key, stage_counts
 from pursefold.operators.keyed import split_null_keys
 from pursefold.plans import activity, profile, promotion
 from pursefold.schemas import (
@@ -51,30 +51,38 @@ def run_day(
 ) -> DataFrame:
     """Bring the tables up to date with one day, entity by entity as far as it has data.
 
-    Rows without a key are kept out of the tables. Returns (stage, n) with the
-    day's row count and rejected rows per entity and each written table's size.
+    Rows without a key are kept out of the tables. Returns (stage, n): per
+    entity its rows in the lake, those rejected for want of a key and the cells
+    lost to unreadable text; per table its rejected rows and its new size.
     """
     as_of = store_date if as_of is None else as_of
     flags = day_flags(spark, source_root, store_date)
-    landed: dict[str, DataFrame] = {}
-    sizes: list[tuple[str, int]] = []
+    counted: dict[str, DataFrame] = {}
+    known: list[tuple[str, int]] = []
 
     def land(entity):
         """Write the day to the lake; later steps read it back from there."""
-        rows = tsv.read_entity(spark, source_root, entity, store_date)
+        losses = Observation()
+        raw = tsv.read_raw(spark, tsv.day_path(source_root, entity, store_date), entity)
+        rows = tsv.typed(raw.observe(losses, *loss_metrics(entity)), entity)
         if entity is TRANSACTIONS:
             lake.write_clean_day(rows, lake_root, store_date)
         else:
             lake.write_raw_day(rows, lake_root, entity, store_date)
+        lost = losses.get
+        known.extend((f"{entity.folder}.lost.{field}", n) for field, n in lost.items() if n)
         day = lake.read_lake_day(spark, lake_root, entity, store_date)
-        full, rejected = split_null_keys(day, entity.key)
-        landed[f"{entity.folder}.rows"] = day
-        landed[f"{entity.folder}.rejected"] = rejected
+        counted[f"{entity.folder}.rows"] = day
+        return with_key(day, entity.key, entity.folder)
+
+    def with_key(rows, key, name):
+        full, rejected = split_null_keys(rows, key)
+        counted[f"{name}.rejected"] = rejected
         return full
 
     def update(target: Target, merge):
         n_rows = state.update(target, merge, str(store_date))
-        sizes.append((f"{target.name}.rows", n_rows))
+        known.append((f"{target.name}.rows", n_rows))
 
     if flags[USERS.folder]:
         users = land(USERS)
@@ -84,17 +92,20 @@ def run_day(
         txn = land(TRANSACTIONS)
         update(PAYMENT, lambda old: activity.payment_update(old, txn, mode))
         update(ACTIVE, lambda old: activity.activity_update(old, txn, mode))
-        update(USER_APP, lambda old: activity.user_apps_update(old, txn))
-        update(USER_PMC, lambda old: activity.user_payment_sources_update(old, txn))
+        with_app = with_key(txn, USER_APP.key, USER_APP.name)
+        update(USER_APP, lambda old: activity.user_apps_update(old, with_app))
+        with_source = with_key(txn, USER_PMC.key, USER_PMC.name)
+        update(USER_PMC, lambda old: activity.user_payment_sources_update(old, with_source))
 
     if flags[PROMOTIONS.folder]:
         promotions = land(PROMOTIONS)
         campaigns = tsv.read_campaigns(spark, f"{source_root}/{CAMPAIGNS.folder}")
+        campaigns = with_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
         require_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
         update(
             USER_PROMOTION,
             lambda old: promotion.promotion_update(old, promotions, campaigns, as_of),
         )
 
-    report = spark.createDataFrame(sizes, "stage string, n bigint")
-    return report.unionByName(stage_counts(**landed)) if landed else report
+    report = spark.createDataFrame(known, "stage string, n bigint")
+    return report.unionByName(stage_counts(**counted)) if counted else report

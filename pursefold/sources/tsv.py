@@ -40,10 +40,8 @@ def read_entity(
 
 
 def read_campaigns(spark: SparkSession, path: str) -> DataFrame:
-    """Campaign settings, undated. Rows without a readable id are left out."""
-    return typed(read_raw(spark, path, CAMPAIGNS), CAMPAIGNS).filter(
-        F.col("campaign_id").isNotNull()
-    )
+    """Campaign settings, undated."""
+    return typed(read_raw(spark, path, CAMPAIGNS), CAMPAIGNS)
 
 
 def has_rows(spark: SparkSession, root: str, entity: Entity, store_date: dt.date | str) -> bool:

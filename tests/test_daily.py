@@ -96,6 +96,16 @@ def test_report(in_order):
     assert "promotions.rows" not in reports[1] and "users.rows" not in reports[2]
     assert reports[3]["user_info.rows"] == 12
     assert reports[0]["transactions.rows"] < 60
+    assert reports[0]["user_pmc.rejected"] > reports[0]["user_app.rejected"] == 0
+
+
+def test_unreadable_cells_are_reported(spark, tmp_path):
+    root = str(tmp_path / "source")
+    put_day(root, USERS, DAYS[0], "1\t1990-13-01\t1\t1\tyesterday", "u2\t\t1\t1\t2021-11-01 00:00:00")
+    store, (report,) = run(spark, root, tmp_path, [DAYS[0]])
+    lost = {stage: n for stage, n in report.items() if ".lost." in stage}
+    assert lost == {"users.lost.birthdate": 1, "users.lost.updated_time": 1, "users.lost.user_id": 1}
+    assert tables(store, ["user_info"])["user_info"] == [(1, None, 1, 1, None)]
 
 
 def test_rerun_changes_nothing(spark, source, in_order):
@@ -122,7 +132,7 @@ def test_repeated_campaign_id_is_refused(spark, tmp_path):
     root = str(tmp_path / "source")
     put_day(root, PROMOTIONS, DAYS[0], "1\tv\tA\t7\t1635724800")
     put(f"{root}/{CAMPAIGNS.folder}/c.csv", header(CAMPAIGNS),
-        "7\t1\t2021-11-05 00:00:00\t1", "07\t1\t2021-11-05 00:00:00\t1")
+        "7\t1\t2021-11-05 00:00:00\t1", "x\t1\t\t1", "07\t1\t2021-11-05 00:00:00\t1")
     with pytest.raises(ValueError, match="configs"):
         run(spark, root, tmp_path, [DAYS[0]])
 

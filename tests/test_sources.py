@@ -76,7 +76,9 @@ def test_campaign_ids(spark, root):
         "08\t1\t2021-12-01 00:00:00.000\t60", "c7\t1\t2021-12-01 00:00:00\t60")
     got = tsv.read_campaigns(spark, f"{root}/configs")
     assert rows(got) == [
-        (7, 2, ts("2021-12-01 00:00:00"), 3600), (8, 1, ts("2021-12-01 00:00:00"), 60)
+        (7, 2, ts("2021-12-01 00:00:00"), 3600),
+        (8, 1, ts("2021-12-01 00:00:00"), 60),
+        (None, 1, ts("2021-12-01 00:00:00"), 60),
     ]
 
 
