@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold.operators.audit import require_key
 from pursefold.schemas import Target
+from pursefold.sources.paths import exists
 
 VERSION_COLUMNS = "version bigint, store_date date, n_rows bigint"
 
@@ -33,12 +33,10 @@ class StateStore:
 
     def versions(self, target: Target) -> DataFrame:
         """(version, store_date, n_rows) of every readable version."""
-        try:
-            return self.spark.read.schema(VERSION_COLUMNS).parquet(self._versions_path(target))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = self._versions_path(target)
+        if not exists(self.spark, path):
             return self.spark.createDataFrame([], VERSION_COLUMNS)
+        return self.spark.read.schema(VERSION_COLUMNS).parquet(path)
 
     def current_version(self, target: Target) -> int:
         """Number of the newest version; 0 when the table was never written."""

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold.functions.parsing import PARSERS
 from pursefold.schemas import CAMPAIGNS, Entity
+from pursefold.sources.paths import exists
 
 DAY_IN_PATH = r"/(\d{4}-\d{2}-\d{2})(?:/|$)"
 
@@ -46,12 +46,8 @@ def read_campaigns(spark: SparkSession, path: str) -> DataFrame:
 
 def has_rows(spark: SparkSession, root: str, entity: Entity, store_date: dt.date | str) -> bool:
     """Whether the day's path exists and holds at least one row."""
-    try:
-        return not read_raw(spark, day_path(root, entity, store_date), entity).isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    path = day_path(root, entity, store_date)
+    return exists(spark, path) and not read_raw(spark, path, entity).isEmpty()
 
 
 def read_days(
