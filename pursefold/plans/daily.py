@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pursefold.operators.audit import loss_metrics, require_key, stage_counts
@@ -15,6 +18,7 @@ from pursefold.schemas import (
     DAILY_ENTITIES,
     PAYMENT,
     PROMOTIONS,
+    TARGETS,
     TRANSACTIONS,
     USER_APP,
     USER_INFO,
@@ -80,32 +84,42 @@ def run_day(
         counted[f"{name}.rejected"] = rejected
         return full
 
-    def update(target: Target, merge):
-        n_rows = state.update(target, merge, str(store_date))
-        known.append((f"{target.name}.rows", n_rows))
+    updates: list[tuple[Target, Callable[[DataFrame], DataFrame]]] = []
 
     if flags[USERS.folder]:
         users = land(USERS)
-        update(USER_INFO, lambda old: profile.profile_update(old, users))
+        updates += [(USER_INFO, lambda old: profile.profile_update(old, users))]
 
     if flags[TRANSACTIONS.folder]:
         txn = land(TRANSACTIONS)
-        update(PAYMENT, lambda old: activity.payment_update(old, txn, mode))
-        update(ACTIVE, lambda old: activity.activity_update(old, txn, mode))
         with_app = with_key(txn, USER_APP.key, USER_APP.name)
-        update(USER_APP, lambda old: activity.user_apps_update(old, with_app))
         with_source = with_key(txn, USER_PMC.key, USER_PMC.name)
-        update(USER_PMC, lambda old: activity.user_payment_sources_update(old, with_source))
+        updates += [
+            (PAYMENT, lambda old: activity.payment_update(old, txn, mode)),
+            (ACTIVE, lambda old: activity.activity_update(old, txn, mode)),
+            (USER_APP, lambda old: activity.user_apps_update(old, with_app)),
+            (USER_PMC, lambda old: activity.user_payment_sources_update(old, with_source)),
+        ]
 
     if flags[PROMOTIONS.folder]:
         promotions = land(PROMOTIONS)
         campaigns = tsv.read_campaigns(spark, f"{source_root}/{CAMPAIGNS.folder}")
         campaigns = with_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
         require_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
-        update(
-            USER_PROMOTION,
-            lambda old: promotion.promotion_update(old, promotions, campaigns, as_of),
-        )
+        updates += [
+            (
+                USER_PROMOTION,
+                lambda old: promotion.promotion_update(old, promotions, campaigns, as_of),
+            )
+        ]
+
+    def update(item):
+        target, merge = item
+        return f"{target.name}.rows", state.update(target, merge, str(store_date))
+
+    # No table depends on another, so their jobs may run side by side.
+    with ThreadPoolExecutor(max_workers=len(TARGETS)) as pool:
+        known.extend(pool.map(inheritable_thread_target(update), updates))
 
     report = spark.createDataFrame(known, "stage string, n bigint")
     return report.unionByName(stage_counts(**counted)) if counted else report
