@@ -119,7 +119,7 @@ def run_day(
 
     # No table depends on another, so their jobs may run side by side.
     with ThreadPoolExecutor(max_workers=len(TARGETS)) as pool:
-        known.extend(pool.map(inheritable_thread_target(update), updates))
+        known.extend(pool.map(inheritable_thread_target(spark)(update), updates))
 
     report = spark.createDataFrame(known, "stage string, n bigint")
     return report.unionByName(stage_counts(**counted)) if counted else report
