@@ -1,6 +1,6 @@
 """Registered queries: (spark, sf_dir) -> DataFrame over the benchmark tables.
 
-Times leave as zone-free timestamps, the form the tables' own times have.
+Times and dates leave as zone-free timestamps, the form the tables' own times have.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def _zone_free(df: DataFrame) -> DataFrame:
-    times = [name for name, kind in df.dtypes if kind == "timestamp"]
+    times = [name for name, kind in df.dtypes if kind in ("timestamp", "date")]
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
@@ -312,7 +312,7 @@ def daily_run(spark, sf_dir):
     per_user = state.read(USER_INFO)
     for part in (state.read(PAYMENT), state.read(ACTIVE), apps, sources, promotions):
         per_user = per_user.join(part, "user_id", "full")
-    return per_user
+    return per_user.fillna(0, ["n_apps", "n_sources", "n_promotions", "n_expired"])
 
 
 @query
