@@ -78,7 +78,7 @@ def best_pattern(prices: np.ndarray, widths: np.ndarray, capacity: int) -> tuple
     return float(worth[capacity]), pattern
 
 
-def patterns(demand: dict[int, int], capacity: int, rounds: int = 4_000) -> list[tuple[dict[int, int], int]]:
+def patterns(demand: dict[int, int], capacity: int, rounds: int = 8_000) -> list[tuple[dict[int, int], int]]:
     """Patterns (width: how many) and how often to use each, together room for every piece; widths are whole numbers up to capacity."""
     widths = np.array(sorted(demand), np.int64)
     if not len(widths):
