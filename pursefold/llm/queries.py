@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pursefold.llm import decontaminate, lines, packing, quality_rules, simhash
+from pursefold.llm import decontaminate, lines, packing, pii, quality_rank, quality_rules, simhash, substring, token_file, toxicity
+from pursefold.llm.common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Of the registered query; a real one is a secret.
+KEY = "a key for tests"
+
 
 def table(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -30,6 +35,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, folder)).select(*columns)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder), table(spark, folder, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.judged(table(spark, folder), table(spark, folder, "benchmark"))
     return found.select(
@@ -37,11 +46,33 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/llm/ids-{uuid.uuid4().hex}"
+    token_file.write(table(spark, folder), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2, size=49_408)
+    return token_file.read(spark, path, size=49_408).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.pseudonymised(table(spark, folder), KEY)
+    return found.select("doc_id", F.col("__n_replaced").cast("long").alias("n_replaced"), F.col("__text").alias("text"))
+
+
+def op8_substring(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.without_repeats(table(spark, folder))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rank.scored(table(spark, folder), table(spark, folder, "labels"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The source is the host of a document."""
     found = lines.cleaned(table(spark, folder), "source")
     return found.select("doc_id", F.col("__n_lines").cast("long").alias("n_lines"), F.col("__n_removed").cast("long").alias("n_removed"), F.sha2(F.coalesce("__text", F.lit("")), 256).alias("text_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op2_packing, op3_quality_rules, op5_decontamination, op10_line_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_simhash, op2_packing, op3_quality_rules, op4_toxicity, op5_decontamination, op6_token_file, op7_pii, op8_substring, op9_quality, op10_line_dedup,
+)}
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,118 @@
+"""Plain versions of the operators, over lists of rows."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import xxhash
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def fingerprint(text):
+    words = WORD.findall(lower(text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(nodes, near):
+    """Smallest id reachable for each place in nodes (id, value)."""
+    parent = list(range(len(nodes)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(nodes)):
+        for j in range(i):
+            if near(nodes[i][1], nodes[j][1]):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (id, _) in enumerate(nodes):
+        r = root(i)
+        if id is not None:
+            least[r] = min(least.get(r, id), id)
+    return [least.get(root(i)) for i in range(len(nodes))]
+
+
+def simhash(rows):
+    prints = [(i, fingerprint(t)) for i, t in rows]
+    found = components(prints, lambda a, b: (a ^ b).bit_count() <= 3)
+    return [(i, f"{fp:016x}", c) for (i, fp), c in zip(prints, found)]
+
+
+def base_counts(text):
+    words = WORD.findall(text or "")
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(i, i + 3)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")) , len(lines) - len(set(lines)), len(covered)
+
+
+def decontamination(rows, items):
+    windows = defaultdict(set)
+    for id, text in items:
+        words = ITEM_WORD.findall(lower(text or ""))
+        for i in range(max(1, len(words) - 12)) if words else ():
+            windows[tuple(words[i : i + 13])].add(str(id))
+    sizes = {len(w) for w in windows}
+    out = []
+    for id, text in rows:
+        words = ITEM_WORD.findall(lower(text or ""))
+        hit, ids = set(), set()
+        for n in sizes:
+            for i in range(len(words) - n + 1):
+                if (w := tuple(words[i : i + n])) in windows:
+                    hit.update(range(i, i + n))
+                    ids |= windows[w]
+        out.append((id, len(words), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(words)))
+    return out
+
+
+def substrings(rows, window=20):
+    """rows with distinct ids."""
+    texts = sorted((i, WORD.findall(t or "")) for i, t in rows)
+    first = {}
+    for id, words in texts:
+        for s in range(len(words) - window + 1):
+            first.setdefault(tuple(words[s : s + window]), (id, s))
+    out = []
+    for id, words in texts:
+        gone = {k for s in range(len(words) - window + 1) if first[tuple(words[s : s + window])] != (id, s) for k in range(s, s + window)}
+        kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+        out.append((id, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def kept_lines(rows, max_ratio, min_pages, max_removed):
+    """rows of id, host, text."""
+    strip = " \t\n\x0b\f\r"
+    pages, total = defaultdict(set), defaultdict(set)
+    for _, host, text in rows:
+        total[host].add(text)
+        for line in (text or "").split("\n"):
+            if line.strip(strip):
+                pages[host, line.strip(strip)].add(text)
+    out = []
+    for id, host, text in rows:
+        if text is None:
+            out.append((id, None, 0))
+            continue
+        lines = text.split("\n")
+        bad = lambda line: line.strip(strip) and len(p := pages[host, line.strip(strip)]) >= min_pages and len(p) > len(total[host]) * max_ratio
+        kept = [line for line in lines if not bad(line)]
+        size = lambda t: sum(c not in strip for c in t)
+        if len(kept) < len(lines) and size("".join(kept)) >= size(text) * (1 - max_removed):
+            out.append((id, "\n".join(kept), len(lines) - len(kept)))
+        else:
+            out.append((id, text, 0))
+    return out
