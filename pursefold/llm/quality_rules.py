@@ -28,8 +28,8 @@ FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 METRICS = {
     "symbols": ("n_symbols", "n_words", 1000, 30, False),
     "upper": ("n_upper", "word_chars", 1000, 30, False),
-    "repeats": ("n_repeat_words", "n_words", 1000, 60, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 60, False),
+    "repeats": ("n_repeat_words", "n_words", 1000, 120, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 180, False),
     "word_length": ("word_chars", "n_words", 100, 60, True),
 }
 REACH, LEAST = 3, 200
