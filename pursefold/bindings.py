@@ -24,7 +24,6 @@ PROMOTION_AS_OF = "1998-06-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -135,8 +134,8 @@ def transactions_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 2, F.concat(F.lit("0"), status))
         .otherwise(F.concat(status, F.lit(".0")))
         .alias("transStatus"),
-        F.when(F.col("event_id") % 16 == 3, F.concat(F.lit("u"), F.col("user_id")))
-        .otherwise(F.col("user_id").cast("string"))
+        F.when(F.col("event_id") % 16 == 7, F.concat(F.lit("u0"), F.col("user_id")))
+        .when(F.col("event_id") % 16 != 3, F.col("user_id").cast("string"))
         .alias("userId"),
         F.when(form == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"))
         .when(form == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
@@ -154,18 +153,34 @@ def transactions_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 SOURCE_DAYS = ("2024-02-01", "2024-02-02")
 
 
-def write_source_days(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """The bound entities as two days of tab-separated source files, and the campaigns."""
+def text_id() -> Column:
+    """User ids of which some are no numbers and some have leading zeros."""
+    user = F.col("user_id").cast("string")
+    return F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("u"), user)).when(
+        F.col("user_id") % 3 == 1, F.concat(F.lit("00"), user)
+    ).otherwise(user)
+
+
+def as_text(df: DataFrame, entity: Entity) -> DataFrame:
+    """The entity's columns as text, under their file headers; times written out."""
+    written = {
+        "time": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS"),
+        "epoch": lambda c: F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd HH:mm:ss"),
+    }
+    text = lambda c: F.col(c).cast("string")
+    return df.select(*[written.get(f.kind, text)(f.name).alias(f.header) for f in entity.fields])
+
 
-    def write(df: DataFrame, entity: Entity, path: str) -> None:
-        times = {f.name for f in entity.fields if f.kind == "time"}
-        columns = [
-            (F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSS") if f.name in times else F.col(f.name))
-            .alias(f.header)
-            for f in entity.fields
-        ]
-        df.select(*columns).write.csv(path, sep="\t", header=True)
+def write_source_day(df: DataFrame, entity: Entity, root: str, day: str) -> None:
+    as_text(df, entity).write.csv(day_path(root, entity, day), sep="\t", header=True)
 
+
+def write_campaigns(df: DataFrame, root: str) -> None:
+    as_text(df, CAMPAIGNS).write.csv(f"{root}/{CAMPAIGNS.folder}", sep="\t", header=True)
+
+
+def write_source_days(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The bound entities as two days of tab-separated source files, and the campaigns."""
     bound = {
         USERS: users(spark, sf_dir),
         TRANSACTIONS: transactions(spark, sf_dir),
@@ -173,5 +188,5 @@ def write_source_days(spark: SparkSession, sf_dir: str, root: str) -> None:
     }
     for entity, df in bound.items():
         for day, part in zip(SOURCE_DAYS, base_and_update(df)):
-            write(part, entity, day_path(root, entity, day))
-    write(campaigns(spark, sf_dir), CAMPAIGNS, f"{root}/{CAMPAIGNS.folder}")
+            write_source_day(part, entity, root, day)
+    write_campaigns(campaigns(spark, sf_dir), root)

@@ -6,12 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _whole(text: Column) -> Column:
+    """Without white space around and without a fraction of zeros."""
+    return F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.0*$", "$1")
+
+
 def to_int(text: Column) -> Column:
-    return F.trim(text).try_cast("int")
+    return _whole(text).try_cast("int")
 
 
 def to_long(text: Column) -> Column:
-    return F.trim(text).try_cast("bigint")
+    return _whole(text).try_cast("bigint")
 
 
 def to_date(text: Column) -> Column:

@@ -1 +1 @@
-"""Keyed reductions, skew-safe joins, keyed merges and audits."""
+"""Keyed reductions, keyed merges and audits."""

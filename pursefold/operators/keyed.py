@@ -1,7 +1,10 @@
 """Reductions to one row (or the tied rows) per key.
 
 They aggregate map-side first, so a key holding a large share of the rows costs
-each task one partial row; where rows must be kept, hot keys are treated apart.
+each task one partial row. Where rows must be kept, the aggregate is joined back
+to them: a join whose large partitions adaptive execution splits, so that no
+task has to hold a key whole. It only does so where both sides are shuffled for
+the join, so the key is joined as a struct, by which the aggregate is not dealt yet.
 """
 
 from __future__ import annotations
@@ -10,16 +13,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pursefold.operators.skew import (
-    MAX_HOT_KEYS,
-    MIN_HOT_ROWS,
-    hot_keys,
-    split_hot,
-)
-
 
 def any_null(keys: Sequence[str]):
     return reduce(or_, [F.col(k).isNull() for k in keys])
@@ -89,49 +85,27 @@ def seed_first_last(
     )
 
 
-def keep_last_ties(
-    spans: DataFrame,
-    key: str,
-    first: str,
-    last: str,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    min_hot_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
+def _joined_back(df: DataFrame, values: DataFrame, key: str, how: str) -> DataFrame:
+    """``values``, one row per key, beside the rows of the key; their key column drops out."""
+    of_key = values.withColumn("of_key", F.struct(key)).drop(key)
+    return df.join(of_key, F.struct(df[key]) == F.col("of_key"), how)
+
+
+def keep_last_ties(spans: DataFrame, key: str, first: str, last: str) -> DataFrame:
     """Every row standing at its key's last time, with the key's first time."""
-    ends = {"first_of_key": F.min(first), "last_of_key": F.max(last)}
-    spread = _with_group_values(spans, key, ends, max_hot_keys, min_hot_rows)
-    return spread.filter(F.col(last) == F.col("last_of_key")).select(
+    full = spans.filter(F.col(key).isNotNull())
+    ends = full.groupBy(key).agg(
+        F.min(first).alias("first_of_key"), F.max(last).alias("last_of_key")
+    )
+    at_end = _joined_back(full, ends, key, "inner").filter(F.col(last) == F.col("last_of_key"))
+    return at_end.select(
         *[F.col("first_of_key").alias(c) if c == first else F.col(c) for c in spans.columns]
     )
 
 
-def with_group_min(
-    df: DataFrame,
-    key: str,
-    value: str,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    min_hot_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
-    """Replace ``value`` by its minimum over the key, keeping every row that has a key."""
-    spread = _with_group_values(df, key, {"low": F.min(value)}, max_hot_keys, min_hot_rows)
-    return spread.select(*[F.col("low").alias(c) if c == value else F.col(c) for c in df.columns])
-
-
-def _with_group_values(
-    df: DataFrame, key: str, values: dict[str, Column], max_hot_keys: int, min_hot_rows: int
-) -> DataFrame:
-    """Add aggregates over the key to each of its rows; rows without a key drop out.
-
-    A window brings all rows of a key into one task, so it serves only keys of
-    moderate size. The values of hot keys come from an aggregate, broadcast to
-    their rows where they are read.
-    """
-    df = df.filter(F.col(key).isNotNull())
-    hot = hot_keys(df, key, max_hot_keys, min_hot_rows)
-    hot_rows, other_rows = split_hot(df, key, hot) if hot else (None, df)
-    whole_key = Window.partitionBy(key)
-    spread = other_rows.withColumns({name: v.over(whole_key) for name, v in values.items()})
-    if hot_rows is None:
-        return spread
-    of_hot = hot_rows.groupBy(key).agg(*[v.alias(name) for name, v in values.items()])
-    return spread.unionByName(hot_rows.join(F.broadcast(of_hot), key))
+def with_group_min(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Replace ``value`` by its minimum over the key; rows without a key keep their own."""
+    low = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias("low"))
+    return _joined_back(df, low, key, "left").select(
+        *[F.coalesce("low", c).alias(c) if c == value else F.col(c) for c in df.columns]
+    )

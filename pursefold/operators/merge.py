@@ -86,10 +86,10 @@ def merge_first_last(
 
 
 def merge_first_last_ties(
-    state: DataFrame, batch: DataFrame, key: str, first: str, last: str, **hot
+    state: DataFrame, batch: DataFrame, key: str, first: str, last: str
 ) -> DataFrame:
     """Fold that keeps every row tied at the last time; either side may hold several per key."""
-    return keep_last_ties(state.unionByName(batch), key, first, last, **hot)
+    return keep_last_ties(state.unionByName(batch), key, first, last)
 
 
 def merge_pairs(state: DataFrame, batch: DataFrame) -> DataFrame:
@@ -106,7 +106,8 @@ def merge_vouchers(state: DataFrame, batch: DataFrame) -> DataFrame:
     """Per voucher: the latest claim, with the earliest expiry over all its rows.
 
     Both sides may hold several rows per voucher. Equal claim times are decided
-    by the largest campaign, user, then status.
+    by the largest campaign, user, then status. Rows without a voucher code belong to
+    no voucher; ``split_null_keys`` gives them.
     """
     rows = state.unionByName(batch).filter(F.col("voucher_code").isNotNull())
     claim = F.struct("time_s", "campaign_id", "user_id", "status")

@@ -1,4 +1,4 @@
-"""One day's run: source files to lake, lake day to the six tables."""
+"""One day's run: source files to lake, lake day to the seven tables."""
 
 from __future__ import annotations
 
@@ -25,6 +25,7 @@ from pursefold.schemas import (
     USER_PMC,
     USER_PROMOTION,
     USERS,
+    VOUCHER,
     Target,
 )
 from pursefold.sources import lake, tsv
@@ -68,11 +69,11 @@ def run_day(
         """Write the day to the lake; later steps read it back from there."""
         losses = Observation()
         raw = tsv.read_raw(spark, tsv.day_path(source_root, entity, store_date), entity)
-        rows = tsv.typed(raw.observe(losses, *loss_metrics(entity)), entity)
+        raw = raw.observe(losses, *loss_metrics(entity))
         if entity is TRANSACTIONS:
-            lake.write_clean_day(rows, lake_root, store_date)
+            lake.write_clean_day(tsv.typed(raw, entity), lake_root, store_date)
         else:
-            lake.write_raw_day(rows, lake_root, entity, store_date)
+            lake.write_raw_day(raw, lake_root, entity, store_date)
         lost = losses.get
         known.extend((f"{entity.folder}.lost.{field}", n) for field, n in lost.items() if n)
         day = lake.read_lake_day(spark, lake_root, entity, store_date)
@@ -103,6 +104,7 @@ def run_day(
 
     if flags[PROMOTIONS.folder]:
         promotions = land(PROMOTIONS)
+        with_key(promotions, VOUCHER.key, VOUCHER.name)
         campaigns = tsv.read_campaigns(spark, f"{source_root}/{CAMPAIGNS.folder}")
         campaigns = with_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
         require_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
@@ -110,7 +112,8 @@ def run_day(
             (
                 USER_PROMOTION,
                 lambda old: promotion.promotion_update(old, promotions, campaigns, as_of),
-            )
+            ),
+            (VOUCHER, lambda old: promotion.voucher_merge(old, promotions, campaigns)),
         ]
 
     def update(item):
@@ -123,3 +126,37 @@ def run_day(
 
     report = spark.createDataFrame(known, "stage string, n bigint")
     return report.unionByName(stage_counts(**counted)) if counted else report
+
+
+def load_history(
+    spark: SparkSession,
+    lake_root: str,
+    state: StateStore,
+    campaigns: DataFrame | None = None,
+    as_of: dt.date | str | None = None,
+    promotions: bool = False,
+) -> dict[str, int]:
+    """Publish the tables once from all days of the lake, and return their sizes.
+
+    Rows without a key stay out. With ``promotions`` (then ``campaigns`` and ``as_of`` are
+    needed) the promotion and voucher tables are loaded as well.
+    """
+    users, _ = split_null_keys(lake.read_lake(spark, lake_root, USERS), USERS.key)
+    txn, _ = split_null_keys(lake.read_lake(spark, lake_root, TRANSACTIONS), TRANSACTIONS.key)
+    users, txn = users.drop("store_date"), txn.drop("store_date")
+    loads = [
+        (USER_INFO, profile.latest_profile(users)),
+        (PAYMENT, activity.first_last_payment(txn)),
+        (ACTIVE, activity.first_last_activity(txn)),
+        (USER_APP, activity.user_apps(split_null_keys(txn, USER_APP.key)[0])),
+        (USER_PMC, activity.user_payment_sources(split_null_keys(txn, USER_PMC.key)[0])),
+    ]
+    if promotions:
+        claims, _ = split_null_keys(lake.read_lake(spark, lake_root, PROMOTIONS), PROMOTIONS.key)
+        claims = claims.drop("store_date")
+        require_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
+        loads += [
+            (USER_PROMOTION, promotion.latest_promotion(claims, campaigns, as_of)),
+            (VOUCHER, promotion.voucher_update(claims, claims.limit(0), campaigns)),
+        ]
+    return {target.name: state.publish(table, target) for target, table in loads}

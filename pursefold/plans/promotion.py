@@ -10,25 +10,23 @@ from pyspark.sql import functions as F
 from pursefold.functions.rules import actual_expire, is_expired, voucher_expire
 from pursefold.operators.keyed import latest_by_key, with_group_min
 from pursefold.operators.merge import merge_overwrite, merge_vouchers
-from pursefold.operators.skew import MAX_BROADCAST_ROWS, small_lookup_join
 from pursefold.schemas import EARLIER_EXPIRY_CAMPAIGN, USER_PROMOTION, VOUCHER
 
 
-def promotion_with_campaign(
-    promotions: DataFrame, campaigns: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def promotion_with_campaign(promotions: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Promotions with their campaign and ``voucher_expire`` = claim time + validity.
 
-    ``campaigns`` has one row per id; promotions of unknown campaigns drop out.
+    ``campaigns`` has one row per id; promotions of unknown campaigns drop out. Spark
+    broadcasts the campaigns if they are small in bytes and splits hot ones if not.
     """
-    joined = small_lookup_join(promotions, campaigns, "campaign_id", max_broadcast_rows)
+    joined = promotions.join(campaigns, "campaign_id")
     return joined.withColumn(
         "voucher_expire", voucher_expire(F.col("time_s"), F.col("expire_secs"))
     )
 
 
 def voucher_expiry_min(claims: DataFrame) -> DataFrame:
-    """Give every claim the earliest ``voucher_expire`` of its voucher code."""
+    """Give every claim the earliest ``voucher_expire`` of its voucher code, if it has one."""
     return with_group_min(claims, "voucher_code", "voucher_expire")
 
 

@@ -5,8 +5,6 @@ Times and dates leave as zone-free timestamps, the form the tables' own times ha
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -23,15 +21,19 @@ from pursefold.schemas import (
     ACTIVE,
     PAYMENT,
     PAYMENT_TYPE,
+    PROMOTIONS,
     TRANSACTIONS,
     USER_APP,
     USER_INFO,
     USER_PMC,
     USER_PROMOTION,
+    USERS,
+    VOUCHER,
 )
 from pursefold.sources import lake
+from pursefold.sources.paths import shared_folder
 from pursefold.sources.state import StateStore
-from pursefold.sources.tsv import read_entity, typed
+from pursefold.sources.tsv import day_path, read_entity, read_raw, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,6 +173,14 @@ def payment_fold_keep_ties(spark, sf_dir):
     return merge_first_last_ties(state, update, "user_id", span["first"], span["last"])
 
 
+@query
+def activity_fold_keep_ties(spark, sf_dir):
+    txn = clean_transactions(b.orders_as_transactions(spark, sf_dir))
+    base, update = b.base_and_update(txn)
+    state = activity.first_last_activity(base, ties="all")
+    return activity.activity_update(state, update, ties="all")
+
+
 @query
 def activity_merge_fold(spark, sf_dir):
     base, update = _clean_split(spark, sf_dir)
@@ -245,6 +255,16 @@ def promotion_expiry_voucher_min(spark, sf_dir):
     return claims.select(*CLAIM_COLUMNS, "voucher_expire", "actual_expire")
 
 
+@query
+def promotion_expiry_null_vouchers(spark, sf_dir):
+    """As above where every seventh claim has no voucher code: it keeps its own expiry."""
+    promotions, campaigns = _promotions(spark, sf_dir)
+    code = F.when(F.col("user_id") % 7 != 0, F.col("voucher_code"))
+    joined = promotion.promotion_with_campaign(promotions.withColumn("voucher_code", code), campaigns)
+    claims = promotion.actual_expiry(promotion.voucher_expiry_min(joined))
+    return claims.select(*CLAIM_COLUMNS, "voucher_expire", "actual_expire")
+
+
 @query
 def promotion_status(spark, sf_dir):
     return promotion.promotion_status(*_promotions(spark, sf_dir), b.PROMOTION_AS_OF)
@@ -289,16 +309,10 @@ def stage_counts(spark, sf_dir):
 # Sources, lake, snapshots and the daily run
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A new folder where the session keeps its checkpoints."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{shared}/pursefold-{uuid.uuid4().hex}"
-
-
 @query
 def daily_run(spark, sf_dir):
     """All six tables after two daily runs over source files, summed up per user."""
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     source, state = f"{folder}/source", StateStore(spark, f"{folder}/state")
     b.write_source_days(spark, sf_dir, source)
     for day in b.SOURCE_DAYS:
@@ -312,15 +326,82 @@ def daily_run(spark, sf_dir):
     per_user = state.read(USER_INFO)
     for part in (state.read(PAYMENT), state.read(ACTIVE), apps, sources, promotions):
         per_user = per_user.join(part, "user_id", "full")
+    per_user = per_user.withColumn("user_id", F.col("user_id").cast("bigint"))
     return per_user.fillna(0, ["n_apps", "n_sources", "n_promotions", "n_expired"])
 
 
+@query
+def profiles_text_ids(spark, sf_dir):
+    """Profiles of users whose ids are no numbers, or differ by leading zeros only, after a daily run."""
+    folder = shared_folder(spark)
+    state = StateStore(spark, f"{folder}/state")
+    users = b.users(spark, sf_dir)
+    b.write_source_day(users.withColumn("user_id", b.text_id()), USERS, f"{folder}/source", b.SOURCE_DAYS[0])
+    daily.run_day(spark, f"{folder}/source", f"{folder}/lake", state, b.SOURCE_DAYS[0])
+    return state.read(USER_INFO)
+
+
+@query
+def raw_lake_text(spark, sf_dir):
+    """Cells of a lake day as text, counted by their text: what was written is what is kept."""
+    folder = shared_folder(spark)
+    text = b.users(spark, sf_dir).withColumn("user_id", b.text_id())
+    b.write_source_day(text, USERS, f"{folder}/source", b.SOURCE_DAYS[0])
+    raw = read_raw(spark, day_path(f"{folder}/source", USERS, b.SOURCE_DAYS[0]), USERS)
+    lake.write_raw_day(raw, f"{folder}/lake", USERS, b.SOURCE_DAYS[0])
+    stored = spark.read.parquet(lake.lake_path(f"{folder}/lake", USERS))
+    return stored.groupBy(F.col("userid").alias("user_id"), F.col("birthdate").alias("birthdate_text")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def lake_by_folder(spark, sf_dir):
+    """Claims read from a lake of day folders whose columns are text, with times as text."""
+    folder = shared_folder(spark)
+    for day, part in zip(b.SOURCE_DAYS, b.base_and_update(b.promotions(spark, sf_dir))):
+        b.as_text(part, PROMOTIONS).write.parquet(f"{folder}/promotions/{day}")
+    return lake.read_foreign_lake(spark, folder, PROMOTIONS)
+
+
+@query
+def voucher_daily(spark, sf_dir):
+    """Vouchers after two daily runs."""
+    folder = shared_folder(spark)
+    state = StateStore(spark, f"{folder}/state")
+    bound = b.promotions(spark, sf_dir)
+    for day, part in zip(b.SOURCE_DAYS, b.base_and_update(bound)):
+        b.write_source_day(part, PROMOTIONS, f"{folder}/source", day)
+    b.write_campaigns(b.campaigns(spark, sf_dir), f"{folder}/source")
+    for day in b.SOURCE_DAYS:
+        daily.run_day(spark, f"{folder}/source", f"{folder}/lake", state, day, as_of=b.PROMOTION_AS_OF)
+    return state.read(VOUCHER).withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
+@query
+def history_load(spark, sf_dir):
+    """Five tables published once from a lake of all days, summed up per user."""
+    folder = shared_folder(spark)
+    source, lake_root, state = f"{folder}/source", f"{folder}/lake", StateStore(spark, f"{folder}/state")
+    for entity, bound in ((USERS, b.users(spark, sf_dir)), (TRANSACTIONS, b.transactions(spark, sf_dir))):
+        for day, part in zip(b.SOURCE_DAYS, b.base_and_update(bound)):
+            b.write_source_day(part, entity, source, day)
+        lake.backfill(spark, source, lake_root, entity)
+    daily.load_history(spark, lake_root, state)
+    count = F.count(F.lit(1))
+    apps = state.read(USER_APP).groupBy("user_id").agg(count.alias("n_apps"))
+    sources = state.read(USER_PMC).groupBy("user_id").agg(count.alias("n_sources"))
+    per_user = state.read(USER_INFO)
+    for part in (state.read(PAYMENT), state.read(ACTIVE), apps, sources):
+        per_user = per_user.join(part, "user_id", "full")
+    return per_user.withColumn("user_id", F.col("user_id").cast("bigint")).fillna(0, ["n_apps", "n_sources"])
+
+
 @query
 def backfilled_lake_days(spark, sf_dir):
     """Totals per lake day after loading all source days at once, then one day again."""
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     source, lake_root = f"{folder}/source", f"{folder}/lake"
-    b.write_source_days(spark, sf_dir, source)
+    for day, part in zip(b.SOURCE_DAYS, b.base_and_update(b.transactions(spark, sf_dir))):
+        b.write_source_day(part, TRANSACTIONS, source, day)
     lake.backfill(spark, source, lake_root, TRANSACTIONS)
     day = b.SOURCE_DAYS[0]
     again = read_entity(spark, source, TRANSACTIONS, day)

@@ -50,7 +50,7 @@ class Target:
 USERS = Entity(
     "users",
     (
-        Field("userid", "user_id", "long"),
+        Field("userid", "user_id", "text"),
         Field("birthdate", "birthdate", "date"),
         Field("profileLevel", "profile_level", "int"),
         Field("gender", "gender", "int"),
@@ -63,7 +63,7 @@ TRANSACTIONS = Entity(
     (
         Field("transid", "trans_id", "text"),
         Field("transStatus", "trans_status", "int"),
-        Field("userId", "user_id", "long"),
+        Field("userId", "user_id", "text"),
         Field("transactionTime", "txn_time", "time"),
         Field("appId", "app_id", "int"),
         Field("transType", "trans_type", "int"),
@@ -75,7 +75,7 @@ TRANSACTIONS = Entity(
 PROMOTIONS = Entity(
     "promotions",
     (
-        Field("userid", "user_id", "long"),
+        Field("userid", "user_id", "text"),
         Field("voucherCode", "voucher_code", "text"),
         Field("status", "status", "text"),
         Field("campaignID", "campaign_id", "long"),
@@ -104,7 +104,7 @@ USER_INFO = Target(
     "user_info",
     ("user_id",),
     {
-        "user_id": "bigint",
+        "user_id": "string",
         "birthdate": "date",
         "profile_level": "int",
         "gender": "int",
@@ -115,7 +115,7 @@ PAYMENT = Target(
     "payment",
     ("user_id",),
     {
-        "user_id": "bigint",
+        "user_id": "string",
         "first_payment_time": "timestamp",
         "last_payment_time": "timestamp",
         "last_payment_app": "int",
@@ -125,31 +125,31 @@ ACTIVE = Target(
     "active",
     ("user_id",),
     {
-        "user_id": "bigint",
+        "user_id": "string",
         "first_active_time": "timestamp",
         "last_active_time": "timestamp",
         "last_trans_type": "int",
     },
 )
-USER_APP = Target("user_app", ("user_id", "app_id"), {"user_id": "bigint", "app_id": "int"})
-USER_PMC = Target("user_pmc", ("user_id", "pmc_id"), {"user_id": "bigint", "pmc_id": "int"})
+USER_APP = Target("user_app", ("user_id", "app_id"), {"user_id": "string", "app_id": "int"})
+USER_PMC = Target("user_pmc", ("user_id", "pmc_id"), {"user_id": "string", "pmc_id": "int"})
 USER_PROMOTION = Target(
     "user_promotion",
     ("user_id", "campaign_id"),
     {
-        "user_id": "bigint",
+        "user_id": "string",
         "campaign_id": "bigint",
         "status": "string",
         "expired": "boolean",
     },
 )
-# Kept per voucher rather than per user; not one of the six daily tables.
+# Kept per voucher rather than per user.
 VOUCHER = Target(
     "voucher",
     ("voucher_code",),
     {
         "voucher_code": "string",
-        "user_id": "bigint",
+        "user_id": "string",
         "campaign_id": "bigint",
         "status": "string",
         "time_s": "bigint",
@@ -157,5 +157,6 @@ VOUCHER = Target(
     },
 )
 TARGETS = {
-    t.name: t for t in (USER_INFO, PAYMENT, ACTIVE, USER_APP, USER_PMC, USER_PROMOTION)
+    t.name: t
+    for t in (USER_INFO, PAYMENT, ACTIVE, USER_APP, USER_PMC, USER_PROMOTION, VOUCHER)
 }

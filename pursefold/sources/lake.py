@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pursefold.functions.rules import as_date
 from pursefold.operators.cleaning import clean_transactions
 from pursefold.schemas import TRANSACTIONS, Entity
-from pursefold.sources.tsv import read_days
+from pursefold.sources.paths import exists
+from pursefold.sources.tsv import DAY_GLOB, day_of_file, read_raw_days, typed
 
 
 def lake_path(root: str, entity: Entity) -> str:
@@ -27,26 +28,53 @@ def write_days(df: DataFrame, path: str) -> None:
     )
 
 
-def write_raw_day(df: DataFrame, root: str, entity: Entity, store_date: dt.date | str) -> None:
-    """Store the day's rows as they came."""
+def _write_day(df: DataFrame, root: str, entity: Entity, store_date: dt.date | str) -> None:
     write_days(df.withColumn("store_date", as_date(store_date)), lake_path(root, entity))
 
 
+def write_raw_day(raw: DataFrame, root: str, entity: Entity, store_date: dt.date | str) -> None:
+    """Store the day's rows as they came, every cell as its text."""
+    _write_day(raw.select(*entity.raw_schema.names), root, entity, store_date)
+
+
 def write_clean_day(df: DataFrame, root: str, store_date: dt.date | str) -> None:
     """Store the day's successful transactions, times cut to the second."""
-    write_raw_day(clean_transactions(df), root, TRANSACTIONS, store_date)
+    _write_day(clean_transactions(df), root, TRANSACTIONS, store_date)
+
+
+def _stored(spark: SparkSession, entity: Entity) -> T.StructType:
+    """Columns of a lake file: typed for transactions, which are cleaned, else text."""
+    if entity is not TRANSACTIONS:
+        return entity.raw_schema
+    return typed(spark.createDataFrame([], entity.raw_schema), entity).schema
+
+
+def _parsed(rows: DataFrame, entity: Entity, *more: str) -> DataFrame:
+    return rows if entity is TRANSACTIONS else typed(rows, entity, *more)
 
 
 def read_lake(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
-    return spark.read.parquet(lake_path(root, entity))
+    """All days, typed, with their ``store_date``."""
+    schema = T.StructType([*_stored(spark, entity), T.StructField("store_date", T.DateType())])
+    return _parsed(spark.read.schema(schema).parquet(lake_path(root, entity)), entity, "store_date")
 
 
 def read_lake_day(
     spark: SparkSession, root: str, entity: Entity, store_date: dt.date | str
 ) -> DataFrame:
-    """One day; only its partition is listed in the scan."""
-    day = read_lake(spark, root, entity).filter(F.col("store_date") == as_date(store_date))
-    return day.drop("store_date")
+    """One day, typed, without listing another; empty where the lake hasn't got it."""
+    schema = _stored(spark, entity)
+    path = f"{lake_path(root, entity)}/store_date={store_date}"
+    if not exists(spark, path):
+        return _parsed(spark.createDataFrame([], schema), entity)
+    return _parsed(spark.read.schema(schema).parquet(path), entity)
+
+
+def read_foreign_lake(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
+    """A lake laid out ``<root>/<entity>/<YYYY-MM-DD>/*.parquet`` with columns of text under
+    the file headers: all days, typed, with their ``store_date``."""
+    files = spark.read.schema(entity.raw_schema).parquet(f"{root}/{entity.folder}/{DAY_GLOB}")
+    return typed(files.withColumn("store_date", day_of_file()), entity, "store_date")
 
 
 def backfill(
@@ -57,7 +85,7 @@ def backfill(
     days: list[dt.date | str] | None = None,
 ) -> None:
     """Load many source days into the lake: one scan, one partitioned write, no shuffle."""
-    rows = read_days(spark, source_root, entity, days)
+    rows = read_raw_days(spark, source_root, entity, days)
     if entity is TRANSACTIONS:
-        rows = clean_transactions(rows)
+        rows = clean_transactions(typed(rows, entity, "store_date"))
     write_days(rows, lake_path(lake_root, entity))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -9,3 +12,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return file_system.exists(hadoop_path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Nothing removes it. Where that is unset, only a local session gets a temporary one.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="pursefold-")
+    return f"{shared}/pursefold-{uuid.uuid4().hex}"

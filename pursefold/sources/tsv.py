@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold.functions.parsing import PARSERS
 from pursefold.schemas import CAMPAIGNS, Entity
 from pursefold.sources.paths import exists
 
+DAY_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 DAY_IN_PATH = r"/(\d{4}-\d{2}-\d{2})(?:/|$)"
 
 
@@ -24,9 +25,15 @@ def read_raw(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     )
 
 
-def typed(raw: DataFrame, entity: Entity) -> DataFrame:
-    """Typed columns under our names; unreadable cells become NULL."""
-    return raw.select(*[PARSERS[f.kind](F.col(f.header)).alias(f.name) for f in entity.fields])
+def typed(raw: DataFrame, entity: Entity, *more: str) -> DataFrame:
+    """Typed columns under our names, and ``more`` as they are; unreadable cells become NULL."""
+    columns = [PARSERS[f.kind](F.col(f.header)).alias(f.name) for f in entity.fields]
+    return raw.select(*columns, *more)
+
+
+def day_of_file() -> Column:
+    """The day named by a folder on the way to the file that a row comes from."""
+    return F.regexp_extract("_metadata.file_path", DAY_IN_PATH, 1).try_cast("date")
 
 
 def day_path(root: str, entity: Entity, store_date: dt.date | str) -> str:
@@ -50,14 +57,20 @@ def has_rows(spark: SparkSession, root: str, entity: Entity, store_date: dt.date
     return exists(spark, path) and not read_raw(spark, path, entity).isEmpty()
 
 
-def read_days(
+def read_raw_days(
     spark: SparkSession, root: str, entity: Entity, days: list[dt.date | str] | None = None
 ) -> DataFrame:
-    """Several days (all of them by default) in one scan, with ``store_date`` from the path."""
-    path = f"{root}/{entity.folder}/*" if days is None else [
+    """Text of several days in one scan, with ``store_date`` from the path.
+
+    By default all folders named like a day; others are no days and are left alone.
+    """
+    path = f"{root}/{entity.folder}/{DAY_GLOB}" if days is None else [
         day_path(root, entity, day) for day in days
     ]
-    raw = read_raw(spark, path, entity)
-    store_date = F.regexp_extract("_metadata.file_path", DAY_IN_PATH, 1).try_cast("date")
-    columns = [PARSERS[f.kind](F.col(f.header)).alias(f.name) for f in entity.fields]
-    return raw.select(*columns, store_date.alias("store_date"))
+    return read_raw(spark, path, entity).withColumn("store_date", day_of_file())
+
+
+def read_days(
+    spark: SparkSession, root: str, entity: Entity, days: list[dt.date | str] | None = None
+) -> DataFrame:
+    return typed(read_raw_days(spark, root, entity, days), entity, "store_date")

@@ -104,8 +104,10 @@ def test_unreadable_cells_are_reported(spark, tmp_path):
     put_day(root, USERS, DAYS[0], "1\t1990-13-01\t1\t1\tyesterday", "u2\t\t1\t1\t2021-11-01 00:00:00")
     store, (report,) = run(spark, root, tmp_path, [DAYS[0]])
     lost = {stage: n for stage, n in report.items() if ".lost." in stage}
-    assert lost == {"users.lost.birthdate": 1, "users.lost.updated_time": 1, "users.lost.user_id": 1}
-    assert tables(store, ["user_info"])["user_info"] == [(1, None, 1, 1, None)]
+    assert lost == {"users.lost.birthdate": 1, "users.lost.updated_time": 1}
+    assert tables(store, ["user_info"])["user_info"] == [
+        ("1", None, 1, 1, None), ("u2", None, 1, 1, ts("2021-11-01 00:00:00")),
+    ]
 
 
 def test_rerun_changes_nothing(spark, source, in_order):
@@ -143,7 +145,7 @@ def test_expired_uses_as_of(spark, tmp_path):
     put(f"{root}/{CAMPAIGNS.folder}/c.csv", header(CAMPAIGNS), "7\t1\t2021-11-05 00:00:00\t1")
     for as_of, expired in ((None, False), ("2021-11-06", True)):
         store, _ = run(spark, root, tmp_path, [DAYS[0]], as_of=as_of)
-        assert tables(store)["user_promotion"] == [(1, 7, "A", expired)]
+        assert tables(store)["user_promotion"] == [("1", 7, "A", expired)]
 
 
 def test_store_date_is_the_day_before():

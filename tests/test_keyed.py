@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pursefold.operators import skew
 from pursefold.operators.keyed import (
     first_last_by_key,
     keep_last_ties,
@@ -15,9 +14,6 @@ from pursefold.operators.keyed import (
 )
 from tests.frames import rows, spans, ts
 
-HOT = {"max_hot_keys": 20, "min_hot_rows": 10}
-NEVER_HOT = {"min_hot_rows": 10**9}
-
 
 @pytest.fixture(scope="module")
 def skewed(spark):
@@ -34,14 +30,7 @@ def skewed(spark):
     ).repartition(6)
 
 
-def test_hot_keys_are_found_and_bounded(skewed):
-    assert skew.hot_keys(skewed, "user_id", 20, 10) == [7]
-    assert skew.hot_keys(skewed, "user_id", 20, 10**6) == []
-    assert skew.hot_keys(skewed.limit(0), "user_id") == []
-
-
-@pytest.mark.parametrize("how", [HOT, NEVER_HOT])
-def test_keep_last_ties_equals_window_form(skewed, how):
+def test_keep_last_ties_equals_window_form(skewed):
     events = seed_first_last(skewed, "user_id", "t", "attr", "first", "last", "attr")
     by_user = Window.partitionBy("user_id")
     wanted = (
@@ -51,39 +40,36 @@ def test_keep_last_ties_equals_window_form(skewed, how):
         .filter("last = m")
         .select("user_id", F.col("f").alias("first"), "last", "attr")
     )
-    got = keep_last_ties(events, "user_id", "first", "last", **how)
+    got = keep_last_ties(events, "user_id", "first", "last")
     assert got.columns == wanted.columns
     assert rows(got) == rows(wanted)
     assert got.filter("user_id = 7").count() > 400
 
 
-@pytest.mark.parametrize("how", [HOT, NEVER_HOT])
-def test_with_group_min_equals_window_form(skewed, how):
-    wanted = skewed.filter("user_id is not null").withColumn(
-        "t", F.min("t").over(Window.partitionBy("user_id"))
-    )
-    assert rows(with_group_min(skewed, "user_id", "t", **how)) == rows(wanted)
-
-
-@pytest.mark.parametrize("how", [HOT, NEVER_HOT])
-def test_lookup_join_equals_plain_join(spark, skewed, how):
-    lookup = spark.range(0, 400, 2).select(F.col("id").alias("user_id"), (F.col("id") * 3).alias("x"))
-    lookup = lookup.unionByName(spark.createDataFrame([(7, -1)], "user_id bigint, x bigint"))
-    got = skew.lookup_join(skewed, lookup, "user_id", **how)
-    assert rows(got) == rows(skewed.join(lookup, "user_id"))
-
-
-def test_small_lookup_join_beyond_its_limit(spark, skewed):
-    lookup = spark.range(400).select(F.col("id").alias("user_id"), (F.col("id") * 3).alias("x"))
-    beyond = skew.small_lookup_join(skewed, lookup, "user_id", max_broadcast_rows=399)
-    within = skew.small_lookup_join(skewed, lookup, "user_id", max_broadcast_rows=400)
-    assert rows(beyond) == rows(within)
-    assert "BroadcastHashJoin" in within._jdf.queryExecution().sparkPlan().toString()
-
-
-def test_fits_broadcast(spark):
-    assert skew.fits_broadcast(spark.range(10), 10)
-    assert not skew.fits_broadcast(spark.range(11), 10)
+def test_with_group_min_equals_window_form(skewed):
+    low = F.min("t").over(Window.partitionBy("user_id"))
+    wanted = skewed.withColumn("t", F.when(F.col("user_id").isNull(), F.col("t")).otherwise(low))
+    assert rows(with_group_min(skewed, "user_id", "t")) == rows(wanted)
+
+
+def test_rows_of_a_hot_key_are_split(spark, skewed):
+    """However many rows a key has, adaptive execution deals them to several tasks."""
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        got = with_group_min(skewed, "user_id", "t")
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in options:
+            spark.conf.unset(name)
 
 
 def test_latest_by_key_uses_tiebreak_then_other_columns(spark):
@@ -147,8 +133,6 @@ def test_keep_last_ties_takes_first_from_rows_without_last(spark):
     )
     wanted = [(1, ts("2021-01-01 00:00:00"), ts("2021-01-02 00:00:00"), 2)]
     assert rows(keep_last_ties(df, "user_id", "first", "last")) == wanted
-    hot = keep_last_ties(df, "user_id", "first", "last", max_hot_keys=5, min_hot_rows=0)
-    assert rows(hot) == wanted
 
 
 def test_split_null_keys(spark):

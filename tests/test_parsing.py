@@ -17,8 +17,8 @@ def parsed(spark, parse, texts):
 
 
 def test_status_text(spark):
-    texts = ["1", " 1", "01", "1.0", "OK", None]
-    assert parsed(spark, parsing.to_int, texts) == [1, 1, 1, None, None, None]
+    texts = ["1", " 1", "01", "1.0", "1.5", "OK", None]
+    assert parsed(spark, parsing.to_int, texts) == [1, 1, 1, 1, None, None, None]
 
 
 def test_times_keep_only_the_second_after_truncation(spark):
@@ -114,7 +114,10 @@ def test_clean_transactions_keeps_success_only(spark):
         ("d", None, "7", "2021-11-01 10:20:33", "3", "3", "100", "2"),
     )
     got = clean_transactions(typed(raw, TRANSACTIONS))
-    assert rows(got) == [("a", 1, 7, ts("2021-11-01 10:20:30"), 3, 3, 100, 2)]
+    assert rows(got) == [
+        ("a", 1, "7", ts("2021-11-01 10:20:30"), 3, 3, 100, 2),
+        ("c", 1, "7", ts("2021-11-01 10:20:32"), 3, 3, 100, 2),
+    ]
 
 
 def test_parse_losses_counts_only_unreadable_text(spark):
@@ -125,7 +128,7 @@ def test_parse_losses_counts_only_unreadable_text(spark):
     )
     lost = dict(rows(parse_losses(raw, TRANSACTIONS)))
     assert lost == {
-        "trans_status": 1, "user_id": 1, "txn_time": 2, "app_id": 0,
+        "trans_status": 1, "txn_time": 2, "app_id": 0,
         "trans_type": 0, "amount": 0, "pmc_id": 0,
     }
 
@@ -135,5 +138,5 @@ def test_typed_users(spark):
         [("5", "1990-01-02", "2", "1", "2021-11-01 10:20:30.123")], USERS.raw_schema
     )
     assert rows(typed(raw, USERS)) == [
-        (5, dt.date(1990, 1, 2), 2, 1, ts("2021-11-01 10:20:30.123"))
+        ("5", dt.date(1990, 1, 2), 2, 1, ts("2021-11-01 10:20:30.123"))
     ]

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -107,15 +106,14 @@ def test_vouchers(spark, data, cut):
     assert rows(merge_vouchers(batch, state)) == rows(merged)
 
 
-@pytest.mark.parametrize("hot", [{}, {"max_hot_keys": 3, "min_hot_rows": 1}])
 @FEW
 @given(data=events, cut=st.integers(0, 25))
-def test_tied_fold(spark, hot, data, cut):
+def test_tied_fold(spark, data, cut):
     def seeded(part):
         shape = "user_id bigint, first timestamp, last timestamp, attr int"
         return spark.createDataFrame([(k, t, t, a) for _, k, t, a in part], shape)
 
-    got = merge_first_last_ties(seeded(data[:cut]), seeded(data[cut:]), "user_id", "first", "last", **hot)
+    got = merge_first_last_ties(seeded(data[:cut]), seeded(data[cut:]), "user_id", "first", "last")
     ends = {key: (first, last) for key, first, last in by_hand(data)}
     wanted = [(k, *ends[k], a) for _, k, t, a in data if t is not None and t == ends[k][1]]
     assert rows(got) == sorted(wanted, key=lambda row: tuple(map(str, row)))

@@ -51,8 +51,8 @@ def test_read_entity(spark, root):
     )
     got = tsv.read_entity(spark, root, PROMOTIONS, "2021-11-01")
     assert rows(got) == [
-        (7, "v1", "USED", 3, 1635762030), (7, "v2", "GIVEN", None, 1635762030),
-        (8, "v3", None, None, None),
+        ("7", "v1", "USED", 3, 1635762030), ("7", "v2", "GIVEN", None, 1635762030),
+        ("8", "v3", None, None, None),
     ]
 
 
@@ -91,10 +91,11 @@ def test_writing_a_day_twice_leaves_the_lake_unchanged(spark, root, lake_root):
     put_day(root, USERS, "2021-11-02", "2\t1990-01-01\t1\t1\t2021-11-02 00:00:00",
             "\t1990-01-01\t1\t1\t2021-11-02 00:00:00")
     for day in ("2021-11-01", "2021-11-02", "2021-11-01"):
-        lake.write_raw_day(tsv.read_entity(spark, root, USERS, day), lake_root, USERS, day)
+        raw = tsv.read_raw(spark, tsv.day_path(root, USERS, day), USERS)
+        lake.write_raw_day(raw, lake_root, USERS, day)
     assert lake.read_lake(spark, lake_root, USERS).count() == 3
     kept = lake.read_lake_day(spark, lake_root, USERS, "2021-11-01")
-    assert rows(kept) == [(1, dt.date(1990, 1, 1), 1, 1, ts("2021-11-01 00:00:00.123"))]
+    assert rows(kept) == [("1", dt.date(1990, 1, 1), 1, 1, ts("2021-11-01 00:00:00.123"))]
 
 
 def test_clean_day_and_partition_pruning(spark, root, lake_root):
@@ -105,8 +106,36 @@ def test_clean_day_and_partition_pruning(spark, root, lake_root):
         lake.write_clean_day(tsv.read_entity(spark, root, TRANSACTIONS, day), lake_root, day)
     got = lake.read_lake_day(spark, lake_root, TRANSACTIONS, "2021-11-01")
     assert rows(got, "trans_id", "txn_time") == [("t1", ts("2021-11-01 00:00:00"))]
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(store_date" in plan
+    assert got.inputFiles() and all("store_date=2021-11-01" in f for f in got.inputFiles())
+    assert lake.read_lake_day(spark, lake_root, TRANSACTIONS, "2020-01-01").count() == 0
+
+
+def test_raw_days_keep_their_text(spark, root, lake_root):
+    lines = ["007\t1990-13-01\tx\t1.0\tyesterday", "u1\t\t1\t1\t2021-11-01 00:00:00"]
+    put_day(root, USERS, "2021-11-01", *lines)
+    raw = tsv.read_raw(spark, tsv.day_path(root, USERS, "2021-11-01"), USERS)
+    lake.write_raw_day(raw, lake_root, USERS, "2021-11-01")
+    stored = spark.read.parquet(f"{lake_root}/users/store_date=2021-11-01")
+    assert rows(stored) == rows(raw)
+    assert rows(lake.read_lake_day(spark, lake_root, USERS, "2021-11-01")) == [
+        ("007", None, None, 1, None), ("u1", None, 1, 1, ts("2021-11-01 00:00:00")),
+    ]
+
+
+def test_folders_that_name_no_day_are_left_alone(spark, root, lake_root):
+    put_day(root, USERS, "2021-11-01", "1\t1990-01-01\t1\t1\t2021-11-01 00:00:00")
+    put_day(root, USERS, "20211102", "2\t1990-01-01\t1\t1\t2021-11-01 00:00:00")
+    lake.backfill(spark, root, lake_root, USERS)
+    assert rows(lake.read_lake(spark, lake_root, USERS), "user_id") == [("1",)]
+
+
+def test_a_lake_of_day_folders(spark, lake_root):
+    text = spark.createDataFrame([("7", "v1", "USED", "3", "2021-11-01 10:20:30")], PROMOTIONS.raw_schema)
+    for day in ("2021-11-01", "2021-11-02"):
+        text.write.parquet(f"{lake_root}/promotions/{day}")
+    assert rows(lake.read_foreign_lake(spark, lake_root, PROMOTIONS)) == [
+        ("7", "v1", "USED", 3, 1635762030, dt.date(2021, 11, n)) for n in (1, 2)
+    ]
 
 
 def test_backfill_equals_day_by_day(spark, root, lake_root, tmp_path):
@@ -132,7 +161,7 @@ def test_backfill_of_plain_files_named_by_day(spark, root, lake_root):
         put(f"{root}/users/2021-11-0{n}", header(USERS), f"{n}\t1990-01-01\t1\t1\t2021-11-01 00:00:00")
     lake.backfill(spark, root, lake_root, USERS)
     assert rows(lake.read_lake(spark, lake_root, USERS), "user_id", "store_date") == [
-        (1, dt.date(2021, 11, 1)), (2, dt.date(2021, 11, 2))
+        ("1", dt.date(2021, 11, 1)), ("2", dt.date(2021, 11, 2))
     ]
     assert set(DAILY_ENTITIES) == {"users", "transactions", "promotions"}
 
@@ -142,29 +171,29 @@ def test_state_versions(spark, tmp_path):
     assert store.current_version(PAYMENT) == 0
     assert store.read(PAYMENT).count() == 0
     t = ts("2021-11-01 00:00:00")
-    one = spark.createDataFrame([(1, t, t, 5)], PAYMENT.ddl)
+    one = spark.createDataFrame([("1", t, t, 5)], PAYMENT.ddl)
     assert store.publish(one, PAYMENT, "2021-11-01") == 1
-    two = one.unionByName(spark.createDataFrame([(2, t, t, 6)], PAYMENT.ddl))
+    two = one.unionByName(spark.createDataFrame([("2", t, t, 6)], PAYMENT.ddl))
     assert store.publish(two, PAYMENT, "2021-11-02") == 2
     assert store.current_version(PAYMENT) == 2
-    assert rows(store.read(PAYMENT), "user_id") == [(1,), (2,)]
-    assert rows(store.read(PAYMENT, version=1), "user_id") == [(1,)]
+    assert rows(store.read(PAYMENT), "user_id") == [("1",), ("2",)]
+    assert rows(store.read(PAYMENT, version=1), "user_id") == [("1",)]
     assert rows(store.versions(PAYMENT)) == [
         (1, dt.date(2021, 11, 1), 1), (2, dt.date(2021, 11, 2), 2)
     ]
 
 
-@pytest.mark.parametrize("bad", [[(1, 1), (1, 1)], [(1, None)]])
+@pytest.mark.parametrize("bad", [[("1", 1), ("1", 1)], [("1", None)]])
 def test_a_table_with_a_broken_key_is_not_published(spark, tmp_path, bad):
     store = StateStore(spark, str(tmp_path / "state"))
-    store.publish(spark.createDataFrame([(1, 1)], USER_PMC.ddl), USER_PMC)
+    store.publish(spark.createDataFrame([("1", 1)], USER_PMC.ddl), USER_PMC)
     with pytest.raises(ValueError, match="user_pmc"):
         store.publish(spark.createDataFrame(bad, USER_PMC.ddl), USER_PMC)
     assert store.current_version(USER_PMC) == 1
-    assert rows(store.read(USER_PMC)) == [(1, 1)]
-    store.publish(spark.createDataFrame([(2, 2)], USER_PMC.ddl), USER_PMC)
+    assert rows(store.read(USER_PMC)) == [("1", 1)]
+    store.publish(spark.createDataFrame([("2", 2)], USER_PMC.ddl), USER_PMC)
     assert store.current_version(USER_PMC) == 2
-    assert rows(store.read(USER_PMC)) == [(2, 2)]
+    assert rows(store.read(USER_PMC)) == [("2", 2)]
 
 
 def test_missing_lake_is_an_error(spark, lake_root):
