@@ -13,9 +13,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pursefold.functions.parsing import to_long
+
 
 def any_null(keys: Sequence[str]):
     return reduce(or_, [F.col(k).isNull() for k in keys])
@@ -27,6 +29,13 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return df.filter(~missing), df.filter(missing)
 
 
+def id_order(id: Column) -> Column:
+    """By which ids are compared, stored ones as well: whole numbers by value, after all others,
+    which go by their text."""
+    text = id.cast("string")
+    return F.struct(to_long(text).alias("number"), text.alias("text"))
+
+
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -52,14 +61,17 @@ def first_last_by_key(
     first: str,
     last: str,
     last_attr: str,
-    tiebreak: Sequence[str] = (),
+    tiebreak: str | None = None,
+    last_id: str | None = None,
 ) -> DataFrame:
     """First time, last time and the attribute at the last time, in one pass.
 
-    Among rows at the same last time the largest ``tiebreak``, then the largest
-    attribute, decides. Keys without any time do not appear.
+    Among rows at the same last time the last ``tiebreak`` id (see ``id_order``), then the
+    largest attribute, decides; ``last_id`` names a column for that id. Keys without any
+    time do not appear.
     """
-    end = F.max(F.struct(F.col(time), *tiebreak, F.col(attr))).alias("end")
+    order = [id_order(F.col(tiebreak)).alias("id")] if tiebreak else []
+    end = F.max(F.struct(F.col(time), *order, F.col(attr))).alias("end")
     spans = (
         df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
         .groupBy(key)
@@ -70,6 +82,7 @@ def first_last_by_key(
         first,
         F.col("end")[time].alias(last),
         F.col("end")[attr].alias(last_attr),
+        *([F.col("end")["id"]["text"].alias(last_id)] if last_id and tiebreak else []),
     )
 
 

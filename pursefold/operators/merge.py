@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pursefold.operators.keyed import keep_last_ties
+from pursefold.operators.keyed import id_order, keep_last_ties
 
 
 def _side_by_side(state: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,10 +60,12 @@ def merge_first_last(
     last: str,
     last_attr: str,
     mode: str = "fold",
+    last_id: str | None = None,
 ) -> DataFrame:
     """Widen each key's (first, last) span by the batch's span.
 
-    ``fold`` moves both ends; running it again changes nothing. ``either``
+    ``fold`` moves both ends; running it again changes nothing, and with ``last_id``, the id
+    of the row at the last time, equal last times go by it and the attribute, whichever came first. ``either``
     moves one end per run: the first time if it got earlier, otherwise the last
     time and its attribute if it got later.
     """
@@ -72,6 +74,13 @@ def merge_first_last(
     inserted = old.isNull()
     starts_earlier = _earlier(new[first], old[first])
     ends_later = _later(new[last], old[last])
+    if last_id and mode == "fold":
+        same = new[last] == old[last]
+        ends_later = ends_later | F.coalesce(
+            same & (F.struct(id_order(new[last_id]), new[last_attr])
+                    > F.struct(id_order(old[last_id]), old[last_attr])),
+            F.lit(False),
+        )
     if mode == "either":
         ends_later = ends_later & ~starts_earlier
     elif mode != "fold":
@@ -81,7 +90,11 @@ def merge_first_last(
         key,
         F.when(inserted | starts_earlier, new[first]).otherwise(old[first]).alias(first),
         F.when(take_last, new[last]).otherwise(old[last]).alias(last),
-        F.when(take_last, new[last_attr]).otherwise(old[last_attr]).alias(last_attr),
+        *[
+            F.when(take_last, new[c]).otherwise(old[c]).alias(c)
+            for c in (last_attr, last_id)
+            if c
+        ],
     )
 
 

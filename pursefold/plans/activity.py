@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,16 +29,21 @@ ACTIVE_SPAN = {
     "last": "last_active_time",
     "last_attr": "last_trans_type",
 }
-TIEBREAK = ("trans_id",)
+TIEBREAK = "trans_id"
+PAYMENT_ID, ACTIVE_ID = "last_payment_id", "last_active_id"
 
 
 def payments(txn: DataFrame) -> DataFrame:
     return txn.filter(F.col("trans_type") == PAYMENT_TYPE)
 
 
-def _spans(txn: DataFrame, attr: str, names: dict[str, str], ties: str, tiebreak) -> DataFrame:
+def _spans(
+    txn: DataFrame, attr: str, names: dict[str, str], ties: str, tiebreak: str | None, last_id: str
+) -> DataFrame:
     if ties == "one":
-        return first_last_by_key(txn, "user_id", "txn_time", attr, tiebreak=tiebreak, **names)
+        return first_last_by_key(
+            txn, "user_id", "txn_time", attr, tiebreak=tiebreak, last_id=last_id, **names
+        )
     if ties == "all":
         events = seed_first_last(txn, "user_id", "txn_time", attr, **names)
         return keep_last_ties(events, "user_id", names["first"], names["last"])
@@ -48,45 +51,46 @@ def _spans(txn: DataFrame, attr: str, names: dict[str, str], ties: str, tiebreak
 
 
 def _merge_spans(
-    state: DataFrame, txn: DataFrame, attr: str, names: dict[str, str], mode: str, ties: str
+    state: DataFrame, txn: DataFrame, attr: str, names: dict[str, str], mode: str, ties: str,
+    last_id: str,
 ) -> DataFrame:
     if ties == "all":
         if mode != "fold":
             raise ValueError("tied rows are kept by mode='fold' only")
         events = seed_first_last(txn, "user_id", "txn_time", attr, **names)
         return merge_first_last_ties(state, events, "user_id", names["first"], names["last"])
-    batch = _spans(txn, attr, names, ties, TIEBREAK)
-    return merge_first_last(state, batch, "user_id", mode=mode, **names)
+    batch = _spans(txn, attr, names, ties, TIEBREAK, last_id)
+    return merge_first_last(state, batch, "user_id", mode=mode, last_id=last_id, **names)
 
 
 def first_last_payment(
-    txn: DataFrame, ties: str = "one", tiebreak: Sequence[str] = TIEBREAK
+    txn: DataFrame, ties: str = "one", tiebreak: str | None = TIEBREAK
 ) -> DataFrame:
     """Per user: first and last payment time and the app of the last payment.
 
     ``txn`` holds successful transactions. Payments at the same last time are
-    decided by the largest transaction id, or all kept with ``ties='all'``.
+    decided by the last transaction id (``id_order``), or all kept with ``ties='all'``.
     """
-    return _spans(payments(txn), "app_id", PAYMENT_SPAN, ties, tiebreak)
+    return _spans(payments(txn), "app_id", PAYMENT_SPAN, ties, tiebreak, PAYMENT_ID)
 
 
 def payment_update(
     state: DataFrame, txn: DataFrame, mode: str = "fold", ties: str = "one"
 ) -> DataFrame:
-    return _merge_spans(state, payments(txn), "app_id", PAYMENT_SPAN, mode, ties)
+    return _merge_spans(state, payments(txn), "app_id", PAYMENT_SPAN, mode, ties, PAYMENT_ID)
 
 
 def first_last_activity(
-    txn: DataFrame, ties: str = "one", tiebreak: Sequence[str] = TIEBREAK
+    txn: DataFrame, ties: str = "one", tiebreak: str | None = TIEBREAK
 ) -> DataFrame:
     """Per user: first and last transaction time and the type of the last one."""
-    return _spans(txn, "trans_type", ACTIVE_SPAN, ties, tiebreak)
+    return _spans(txn, "trans_type", ACTIVE_SPAN, ties, tiebreak, ACTIVE_ID)
 
 
 def activity_update(
     state: DataFrame, txn: DataFrame, mode: str = "fold", ties: str = "one"
 ) -> DataFrame:
-    return _merge_spans(state, txn, "trans_type", ACTIVE_SPAN, mode, ties)
+    return _merge_spans(state, txn, "trans_type", ACTIVE_SPAN, mode, ties, ACTIVE_ID)
 
 
 def _pairs(txn: DataFrame, other: str) -> DataFrame:

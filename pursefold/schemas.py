@@ -119,6 +119,7 @@ PAYMENT = Target(
         "first_payment_time": "timestamp",
         "last_payment_time": "timestamp",
         "last_payment_app": "int",
+        "last_payment_id": "string",
     },
 )
 ACTIVE = Target(
@@ -129,6 +130,7 @@ ACTIVE = Target(
         "first_active_time": "timestamp",
         "last_active_time": "timestamp",
         "last_trans_type": "int",
+        "last_active_id": "string",
     },
 )
 USER_APP = Target("user_app", ("user_id", "app_id"), {"user_id": "string", "app_id": "int"})

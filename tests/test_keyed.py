@@ -114,7 +114,7 @@ def test_first_last_ties(spark):
         TXN,
     )
     first, last = ts("2021-01-01 00:00:00"), ts("2021-01-03 00:00:00")
-    one = first_last_by_key(df, "user_id", "t", "app", tiebreak=["trans_id"], **NAMES)
+    one = first_last_by_key(df, "user_id", "t", "app", tiebreak="trans_id", **NAMES)
     assert rows(one) == [(1, first, last, 2)]
     untold = first_last_by_key(df, "user_id", "t", "app", **NAMES)
     assert rows(untold) == [(1, first, last, 9)]

@@ -171,9 +171,9 @@ def test_state_versions(spark, tmp_path):
     assert store.current_version(PAYMENT) == 0
     assert store.read(PAYMENT).count() == 0
     t = ts("2021-11-01 00:00:00")
-    one = spark.createDataFrame([("1", t, t, 5)], PAYMENT.ddl)
+    one = spark.createDataFrame([("1", t, t, 5, "a")], PAYMENT.ddl)
     assert store.publish(one, PAYMENT, "2021-11-01") == 1
-    two = one.unionByName(spark.createDataFrame([("2", t, t, 6)], PAYMENT.ddl))
+    two = one.unionByName(spark.createDataFrame([("2", t, t, 6, "b")], PAYMENT.ddl))
     assert store.publish(two, PAYMENT, "2021-11-02") == 2
     assert store.current_version(PAYMENT) == 2
     assert rows(store.read(PAYMENT), "user_id") == [("1",), ("2",)]
