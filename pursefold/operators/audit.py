@@ -24,6 +24,13 @@ def stage_counts(**stages: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def stage_counts_of(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
+    """(stage, n): rows of ``df`` meeting each stage's condition, in one pass."""
+    counts = df.agg(*[F.count_if(met).alias(name) for name, met in stages.items()])
+    pairs = [F.struct(F.lit(name).alias("stage"), F.col(name).alias("n")) for name in stages]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def key_faults(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: keys occurring more than once, and rows with a NULL in the key."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

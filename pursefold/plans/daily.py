@@ -58,9 +58,11 @@ def run_day(
 
     Rows without a key are kept out of the tables. Returns (stage, n): per
     entity its rows in the lake, those rejected for want of a key and the cells
-    lost to unreadable text; per table its rejected rows and its new size.
+    lost to unreadable text, and promotions of unknown campaigns; per table its rejected
+    rows and its new size. ``as_of`` is the day after ``store_date`` if not given.
     """
-    as_of = store_date if as_of is None else as_of
+    if as_of is None:  # the day the run is due
+        as_of = dt.date.fromisoformat(str(store_date)) + dt.timedelta(days=1)
     flags = day_flags(spark, source_root, store_date)
     counted: dict[str, DataFrame] = {}
     known: list[tuple[str, int]] = []
@@ -108,6 +110,9 @@ def run_day(
         campaigns = tsv.read_campaigns(spark, f"{source_root}/{CAMPAIGNS.folder}")
         campaigns = with_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
         require_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
+        counted[f"{PROMOTIONS.folder}.unknown_campaign"] = promotions.join(
+            campaigns, CAMPAIGNS.key[0], "left_anti"
+        )
         updates += [
             (
                 USER_PROMOTION,

@@ -22,6 +22,7 @@ from pursefold.schemas import (
     PAYMENT,
     PAYMENT_TYPE,
     PROMOTIONS,
+    SUCCESS_STATUS,
     TRANSACTIONS,
     USER_APP,
     USER_INFO,
@@ -307,11 +308,13 @@ def arrivals(spark, sf_dir):
 
 @query
 def stage_counts(spark, sf_dir):
-    txn = b.transactions(spark, sf_dir)
-    clean = clean_transactions(txn)
-    return audit.stage_counts(
-        transactions=txn, successful=clean, payments=activity.payments(clean)
-    )
+    successful = F.col("trans_status") == SUCCESS_STATUS
+    stages = {
+        "transactions": F.lit(True),
+        "successful": successful,
+        "payments": successful & (F.col("trans_type") == PAYMENT_TYPE),
+    }
+    return audit.stage_counts_of(b.transactions(spark, sf_dir), stages)
 
 
 # Sources, lake, snapshots and the daily run
