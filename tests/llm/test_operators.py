@@ -230,6 +230,14 @@ def test_repeated_rows_are_no_repeats(spark):
     assert sorted((r.doc_id, r.n_removed) for r in substring.without_repeats(docs).collect()) == [(1, 0), (1, 0), (2, 50)]
 
 
+def test_copies_of_a_text_keep_nothing(spark):
+    text, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"w{k}" for k in range(25))
+    rows = [(5, text), (3, text), (9, text), (4, other), (7, "few words"), (8, "few words"), (6, None), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ordered((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.text.encode()).hexdigest()) for r in substring.without_repeats(docs).collect())
+    assert got == ordered(brute.substrings(rows))
+
+
 def test_cover_has_every_difference():
     assert {(a - b) % substring.PERIOD for a in substring.COVER for b in substring.COVER} == set(range(substring.PERIOD))
 
