@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pursefold.llm import decontaminate, lines, packing, pii, quality_rank, quality_rules, simhash, substring, token_file, toxicity
 from pursefold.llm.common import shared_dir
+from pursefold.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,4 +76,3 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash, op2_packing, op3_quality_rules, op4_toxicity, op5_decontamination, op6_token_file, op7_pii, op8_substring, op9_quality, op10_line_dedup,
 )}
-ORACLES: dict[str, str] = {}
