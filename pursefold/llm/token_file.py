@@ -33,7 +33,7 @@ from pursefold.llm.common import text_hash
 from pursefold.llm.tokens import encoder
 
 MAGIC = b"PFR1"
-BLOCK, LANES, REFRESH = 1 << 18, 1024, 16
+BLOCK, LANES, REFRESH = 1 << 19, 2048, 16
 BITS = 28
 WHOLE = np.int64(1 << BITS)
 LEAST = 64  # of WHOLE, for an id not seen yet
