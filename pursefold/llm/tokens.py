@@ -12,7 +12,13 @@ import os
 from array import array
 from functools import cache
 
+import numpy as np
+
 LIMIT = 1 << 20
+SIGNS = (".", ",")
+#: How the byte-level vocabulary writes a space (fixed value).
+SPACE = "Ġ"
+TOGETHER = 64
 
 
 class Encoder:
@@ -25,6 +31,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces, self.limit, self.known = spaces, limit, {}
+        self.begins = np.array([self.tokenizer.id_to_token(k).startswith(SPACE) for k in range(self.tokenizer.get_vocab_size())])
+        self.signs = dict(zip(SIGNS, self.whole([*SIGNS])))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -32,26 +40,52 @@ class Encoder:
     def _clean(self, part: str) -> bool:
         return not self.spaces or bool(part) and not part[0].isspace() and not part[-1].isspace()
 
+    def _apart(self, parts: list[str]) -> list[bytes]:
+        """The ids of each piece with a space before it."""
+        if not self.spaces:
+            return self.whole([f" {p}" for p in parts])
+        found = []
+        for at in range(0, len(parts), TOGETHER):  # encoded together, and cut where an id begins with a space
+            some = parts[at : at + TOGETHER]
+            ids = self.whole([" " + " ".join(some)])[0]
+            cuts = np.flatnonzero(self.begins[np.frombuffer(ids, "<u4")]) * 4
+            found += [ids[a:b] for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(ids)])]
+        return found
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of pieces that are not known yet; None for those that are not clean."""
+        known = self.known
+        # A word with a stop or comma is the word and the sign: both patterns cut there, and the word alone is often known.
+        ends = {p: p[:-1] for p in new if p[-1:] in SIGNS and p[-2:-1].isascii() and p[-2:-1].isalpha() and self._clean(p)}
+        alone = [p for p in dict.fromkeys([*ends.values(), *(p for p in new if p not in ends)]) if p not in known]
+        known.update(dict.fromkeys(alone))
+        usable = [p for p in alone if self._clean(p)]
+        known.update(zip(usable, self._apart(usable)))
+        known.update((p, None if known[word] is None else known[word] + self.signs[p[-1]]) for p, word in ends.items())
+
     def ids(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > self.limit:
             known.clear()
-        heads, tails = [], []
+        heads, bounds, flat = [], [0], []
         for text in texts:
             head, *tail = text.split(" ")
             heads.append(head)
-            tails.append(tail)
-        new = list({p for tail in tails for p in tail if p not in known})
-        usable = [p for p in new if self._clean(p)]
-        known.update(dict.fromkeys(new))
-        known.update(zip(usable, self.whole([f" {p}" for p in usable])))
+            flat += tail
+            bounds.append(len(flat))
+        parts = list(map(known.get, flat))
+        missing = [k for k, ids in enumerate(parts) if ids is None]
+        if missing:
+            self._learn(list(dict.fromkeys(p for p in (flat[k] for k in missing) if p not in known)))
+            for k in missing:
+                parts[k] = known[flat[k]]
         found = []
-        for text, head, tail, first in zip(texts, heads, tails, self.whole(heads)):
-            parts = [known[p] for p in tail]
-            if None in parts or tail and not self._clean(head):
+        for text, head, first, a, b in zip(texts, heads, self.whole(heads), bounds, bounds[1:]):
+            own = parts[a:b]
+            if None in own or own and not self._clean(head):
                 found += self.whole([text])
             else:
-                found.append(first + b"".join(parts))
+                found.append(first + b"".join(own))
         return found
 
 
