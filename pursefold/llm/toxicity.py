@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pursefold.llm.common import written
+from pursefold.llm.common import first_by_hash, written
 
 TRAIN_ROWS, FEATURES, FOLDS, STEPS = 12_000, 4096, 5, 200
 LEAST_DOCS = 4
@@ -112,7 +112,7 @@ def _indexed(known: dict[str, int], text: str, keep: list[str], kinds: list[str]
 
 def train(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CATEGORIES, train_rows: int = TRAIN_ROWS) -> tuple[dict[str, int], list[Linear]]:
     """The known features and the chain. labelled: doc_id and what `kinds` needs; with the text it gives the categories."""
-    first = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    first = first_by_hash(labelled, "doc_id", train_rows)
     sample = docs.select("doc_id", "text").filter("doc_id is not null").join(F.broadcast(first), "doc_id")  # at most train_rows ids
     sample = written(kinds(sample).select("doc_id", "text", *categories), "toxicity")
 
