@@ -104,7 +104,8 @@ def fences(rows: DataFrame, lang: str = "lang", source: str = "source", reach: i
 
 def judged(rows: DataFrame, lang: str = "lang", source: str = "source", reach: int = REACH, least: int = LEAST) -> DataFrame:
     """rows (with `__stats`) and booleans `__base_failed` and `__kept`."""
-    cut = fences(rows, lang, source, reach, least)
+    # Written, so that Spark knows its size before it deals out the texts, and need not do so where it is small.
+    cut = written(fences(rows, lang, source, reach, least), "fences")
     inside = F.lit(True)
     for m, (_, _, _, _, two) in METRICS.items():
         inside &= metric(m) <= F.col(f"hi_{m}")
