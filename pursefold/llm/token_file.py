@@ -33,7 +33,9 @@ from pursefold.llm.common import text_hash
 from pursefold.llm.tokens import encoder
 
 MAGIC = b"PFR1"
-BLOCK, LANES, REFRESH = 1 << 19, 2048, 16
+BLOCK, LANES, REFRESH = 1 << 20, 2048, 16
+#: Columns of a block at least; what one column teaches serves the next.
+LONG = 512
 BITS = 28
 WHOLE = np.int64(1 << BITS)
 LEAST = 64  # of WHOLE, for an id not seen yet
@@ -112,7 +114,7 @@ class Lanes:
 
 
 def _shape(n: int) -> tuple[int, int]:
-    lanes = max(1, min(LANES, n // 64))
+    lanes = max(1, min(LANES, n // LONG))
     return lanes, -(-n // lanes)
 
 

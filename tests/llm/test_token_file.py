@@ -1,3 +1,5 @@
+import uuid
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -41,7 +43,7 @@ def test_damage_is_noticed():
 def test_files_give_back_every_document(spark, odd):
     from tokenizers import Tokenizer
 
-    path = f"{shared_dir(spark)}/ids-of-odd"
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     token_file.write(odd, path, public_tokenizers.path("word_bpe_49k.json"), 2, 49_408)
     got = token_file.read(spark, path, 49_408).collect()
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -57,6 +59,6 @@ def test_files_give_back_every_document(spark, odd):
 
 
 def test_empty_table(spark, odd):
-    path = f"{shared_dir(spark)}/ids-of-none"
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     token_file.write(odd.filter("false"), path, public_tokenizers.path("word_bpe_49k.json"), 2, 49_408)
     assert token_file.read(spark, path, 49_408).count() == 0
