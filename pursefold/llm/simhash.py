@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pursefold.llm.common import byte_texts, text_hash, written
@@ -46,16 +46,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp as a signed long."""
+def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp): fp as a signed long; with `hashed` also `hash`, the text's hash."""
     kind = docs.schema[id].dataType.simpleString()
+    names = ["doc_id", "fp"] + ["hash"] * hashed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in byte_texts(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names)
 
-    return docs.select(id, text).mapInArrow(run, f"doc_id {kind}, fp long")
+    columns = [F.col(id), F.col(text)] + [text_hash(text)] * hashed
+    return docs.select(*columns).mapInArrow(run, f"doc_id {kind}, fp long" + ", hash long" * hashed)
 
 
 class Tree:
@@ -148,20 +150,32 @@ def links(values: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -
     return blocks.repartition("shard", "i", "j").sortWithinPartitions(*order).mapInArrow(_link(radius), "a long, b long")
 
 
+def _first(prints: DataFrame, least: Column, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of each distinct fingerprint, and (r, first): the least value of each root's rows."""
+    smallest = written(prints.groupBy("fp").agg(F.min(least).alias("least")), "simhash-values")
+    roots = components(links(smallest.select("fp"), radius))
+    rooted = smallest.join(roots, F.expr("fp = node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    return rooted, rooted.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("first"))
+
+
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, one row for each row of docs."""
     prints = written(fingerprints(docs, id, text, shingle), "simhash")
-    smallest = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-values")
-    roots = components(links(smallest.select("fp"), radius))
-    rooted = smallest.join(roots, F.expr("fp = node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, F.expr("root = r")).select(F.col("fp").alias("f"), "component_id")
+    rooted, first = _first(prints, F.col("doc_id"), radius)
+    named = rooted.join(first, F.expr("root = r")).select(F.col("fp").alias("f"), F.col("first").alias("component_id"))
     return prints.join(named, F.expr("fp = f"), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Of each class the row with the smallest doc_id; of rows that share it the one whose text has the smallest hash."""
-    kept = classes(docs, shingle=shingle, radius=radius).filter("doc_id <=> component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    rows = docs.join(kept, F.expr("doc_id <=> __keep"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("__hash")
-    return rows.withColumn("__hash", text_hash()).withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").select(*docs.columns)
+    """Of each class the row with the smallest doc_id; of rows that share it the one whose text has the smallest hash.
+
+    A class is its component, whatever its rows are named: classes that share a doc_id, or have null ids only, keep a row each.
+    """
+    prints = written(fingerprints(docs, shingle=shingle, hashed=True), "simhash")
+    texts = prints.groupBy("fp", "doc_id", "hash").agg((F.count("*") > 1).alias("many"))
+    _, first = _first(texts, F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "hash", "many"), radius)
+    kept = written(first.select(F.col("first.doc_id").alias("__id"), F.col("first.hash").alias("__least"), F.col("first.many").alias("__many")), "simhash-kept")
+    rows = docs.withColumn("__hash", text_hash()).join(kept, F.expr("doc_id <=> __id and __hash = __least"))
+    # Only rows of one id and text are left to tell apart; they are thinned out in each task before they are shuffled.
+    once, again = rows.filter("not __many"), rows.filter("__many").dropDuplicates(["doc_id", "__hash"])
+    return once.union(again).select(*docs.columns)

@@ -52,6 +52,21 @@ def test_one_document_of_each_class_stays(spark, odd):
     assert ordered(r.doc_id for r in kept.collect()) == ordered(classes)
 
 
+def test_classes_that_share_an_id_or_have_none_keep_a_row_each(spark):
+    def text(k, n=40):
+        return " ".join(f"t{k}w{j}" for j in range(n))
+
+    rows = [(None, text(k)) for k in range(5)] + [(None, text(0))] * 2  # five classes without an id, one of three rows
+    rows += [(7, text(k)) for k in range(5, 8)] + [(7, text(5))]  # three classes named 7, one with a repeated row
+    rows += [(8, text(6)), (9, text(9)), (7, text(9)), (3, text(9))]  # 7 has rows in the classes named 7 and 3
+    rows += [(None, text(11)), (12, text(11))]  # an id goes before none
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in simhash.representatives(docs).collect()]
+    wanted = [(None, text(k)) for k in range(5)] + [(7, text(k)) for k in range(5, 8)] + [(3, text(9)), (12, text(11))]
+    assert ordered(kept) == ordered(wanted)
+    assert simhash.representatives(docs.filter("false")).count() == 0
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
 @pytest.mark.parametrize("tree_size", [4, 1024])
 def test_links_have_the_components_of_all_pairs(spark, radius, tree_size):
