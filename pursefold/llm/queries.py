@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pursefold.llm import decontaminate, lines, packing, pii, quality_rank, quality_rules, simhash, substring, token_file, toxicity
+from pursefold.llm import decontaminate, lines, merkle, packing, pii, quality_rank, quality_rules, secret_scan, simhash, substring, token_file, toxicity, whitening
 from pursefold.llm.common import shared_dir
 from pursefold.llm.oracles import ORACLES  # noqa: F401
 
@@ -73,6 +73,34 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("__n_lines").cast("long").alias("n_lines"), F.col("__n_removed").cast("long").alias("n_removed"), F.sha2(F.coalesce("__text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whitened(table(spark, folder, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part")
+    rows = found.select("vec_id", "n", "deviation", "identity_error", each)
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "part.whitened", "part.explained", "identity_error")
+
+
+def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scanned(table(spark, folder))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of_kind = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE]
+    return found.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Tampering adds 1 to n_chars where 7 divides the id's checksum."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    leaves = merkle.leaves(table(spark, folder), {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}, tampered)
+    text = lambda c: F.lower(F.hex(c))
+    return merkle.manifest(leaves).select(
+        F.col("id").alias("doc_id"), *(text(c).alias(c) for c in ("leaf", "subroot", "root")), merkle.proof(F.col("path")).alias("proof_sha256"),
+        text("version").alias("folded_root"), (F.col("version") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash, op2_packing, op3_quality_rules, op4_toxicity, op5_decontamination, op6_token_file, op7_pii, op8_substring, op9_quality, op10_line_dedup,
+    op11_whitening, op12_secrets, op13_merkle,
 )}

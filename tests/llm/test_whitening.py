@@ -1,0 +1,115 @@
+import math
+
+import numpy as np
+import pytest
+
+from pursefold.llm import queries, whitening
+from pursefold.llm.feast import Spectrum, pairs, tridiagonal
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(rows):
+    """(id, list) to {id: (n, deviation, projections on unit eigenvectors over the root of their value)}, values, trace."""
+    x = [(i, [math.floor(64 * float(c)) + 1_000_000 for c in v]) for i, v in rows]
+    n, d = len(x), len(x[0][1])
+    sums = [sum(v[k] for _, v in x) for k in range(d)]
+    z = np.array([[n * v[k] - sums[k] for k in range(d)] for _, v in x], float) / n
+    values, vectors = np.linalg.eigh(z.T @ z / n)
+    order = [k for k in np.argsort(values)[::-1] if values[k] > d * 1e-15 * values[-1]][:32]
+    done = z @ vectors[:, order] / np.sqrt(values[order])
+    deviations = [sum((n * v[k] - sums[k]) ** 2 for k in range(d)) for _, v in x]
+    return {i: (n, dev, w) for (i, _), dev, w in zip(x, deviations, done)}, values[order], np.trace(z.T @ z / n)
+
+
+def test_whitening_of_embeddings(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    wanted, values, trace = plain(rows)
+    found = queries.op11_whitening(spark, SF)
+    assert found.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    found = found.collect()
+    assert len(found) == 32 * len(rows)
+    assert len({r.identity_error for r in found}) == 1 and found[0].identity_error < 1e-12
+    got = np.zeros((len(rows), 32))
+    for r in found:
+        n, deviation, w = wanted[r.vec_id]
+        assert (r.n, r.deviation) == (n, deviation)
+        assert r.explained == pytest.approx(values[r.component - 1] / trace, rel=1e-10)
+        got[r.vec_id, r.component - 1] = r.whitened
+    plain_rows = np.array([wanted[i][2] for i, _ in rows])
+    ids = [i for i, _ in rows]
+    signs = np.sign((got[ids] * plain_rows).sum(axis=0))
+    assert np.abs(got[ids] * signs - plain_rows).max() < 1e-8
+
+
+def test_whitening_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(k, [float(k % 5), float(k * k % 7) / 3, -1.0], "x") for k in range(20)]
+    rows += [(None, [0.5, 0.25, 2.0], None), (3, [9.0, 1.0, 1.0], "x"), (3, [9.0, 1.0, 1.0], "x")]
+    bad = [(50, None, "x"), (51, [], "x"), (52, [1.0, None, 2.0], "x"), (53, [1.0, nan, 2.0], "x"), (54, [inf, 1.0, 2.0], "x"), (55, [-inf, 1.0, 2.0], "x"), (56, [1.0, 2.0], "x"), (57, [1.0], "x")]
+    schema = "vec_id long, embedding array<float>, whitened string"
+    done = whitening.whitened(spark.createDataFrame(rows + bad, schema)).collect()
+    wanted, _, _ = plain([(k, v) for k, (_, v, _) in enumerate(rows)])
+    assert sorted((str(r.vec_id), r.deviation) for r in done) == sorted((str(rows[k][0]), w[1]) for k, w in wanted.items())
+    assert all(len(r.whitened) == len(r.explained) == 3 and r.identity_error < 1e-12 for r in done)
+    empty = whitening.whitened(spark.createDataFrame(bad[:2], schema))
+    assert empty.count() == 0 and "deviation" in empty.columns
+    assert whitening.whitened(spark.createDataFrame([], schema)).count() == 0
+    assert whitening.whitened(spark.createDataFrame([(1, [1.0, 2.0], "x")] * 3, schema)).count() == 0  # nothing varies
+    one = whitening.whitened(spark.createDataFrame([(1, [1.0], "x"), (2, [2.0], "x")], schema)).collect()
+    assert sorted((r.vec_id, r.n, r.deviation, abs(r.whitened[0])) for r in one) == [(1, 2, 64**2, 1.0), (2, 2, 64**2, 1.0)]
+
+
+def test_whitening_of_huge_entries(spark):
+    rows = [(1, [3e38, 0.0]), (2, [-3e38, 1.0]), (3, [0.0, 5.0]), (4, [1e9, 5.0])]
+    done = whitening.whitened(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert len(done) == 4 and done[0].identity_error < 1e-4
+    assert all(r.deviation is None for r in done if r.vec_id < 3)  # beyond 64 bits
+
+
+def test_sums_are_exact_beyond_doubles():
+    random = np.random.default_rng(3)
+    for size in (10, 10**6, 10**9, 1 << 45):
+        y = random.integers(-size, size, (50, 4))
+        rows = [[int(v) for v in row] for row in y]
+        assert whitening.products(y).tolist() == [[sum(r[i] * r[j] for r in rows) for j in range(4)] for i in range(4)]
+
+
+def matrices():
+    random = np.random.default_rng(7)
+    turned = lambda values: (q := np.linalg.qr(random.standard_normal((len(values), len(values))))[0]) @ np.diag(values) @ q.T
+    return {
+        "spread": turned(np.linspace(1, 50, 40)), "equal": np.eye(12) * 3, "close": turned([100.0] * 5 + [1.0] * 20 + [1 + 1e-9] * 10 + [0.0] * 9),
+        "decades": turned(10.0 ** np.linspace(8, -8, 50)), "rank 3": turned([5.0, 4.0, 3.0] + [0.0] * 20), "one": np.array([[2.0]]), "near the edge": turned([1.0 + 1e-7 * k for k in range(30)]),
+    }
+
+
+@pytest.mark.parametrize("name", matrices())
+def test_intervals_hold_all_pairs(name):
+    matrix = (m := matrices()[name]) / 2 + m.T / 2
+    spectrum, wanted = Spectrum(matrix), np.linalg.eigvalsh(matrix)[::-1]
+    scale = wanted[0]
+    middles = (wanted[1:] + wanted[:-1])[wanted[:-1] - wanted[1:] > 1e-12 * scale] / 2
+    assert [spectrum.below(s) for s in middles] == [int((wanted < s).sum()) for s in middles]
+    many = min(20, len(matrix))
+    cuts = spectrum.intervals(many)
+    values = []
+    for low, high, count in cuts:
+        got, vectors = pairs(matrix, low, high, count)
+        assert len(got) == count
+        assert np.abs(matrix @ vectors - vectors * got).max() < 1e-13 * scale
+        assert np.abs(vectors.T @ vectors - np.eye(count)).max() < 1e-13
+        values += [*got]
+    assert len(values) >= many and np.abs(np.array(values) - wanted[: len(values)]).max() < 1e-13 * scale
+
+
+def test_wrong_counts_are_told():
+    with pytest.raises(ArithmeticError):
+        pairs(np.diag([1.0, 2.0, 3.0]), 1.5, 2.5, 2)
+
+
+def test_tridiagonal_is_similar():
+    a = np.random.default_rng(1).standard_normal((9, 9))
+    a += a.T
+    d, off = tridiagonal(a)
+    assert np.allclose(np.linalg.eigvalsh(np.diag(d) + np.diag(off, 1) + np.diag(off, -1)), np.linalg.eigvalsh(a))
