@@ -190,3 +190,22 @@ def write_source_days(spark: SparkSession, sf_dir: str, root: str) -> None:
         for day, part in zip(SOURCE_DAYS, base_and_update(df)):
             write_source_day(part, entity, root, day)
     write_campaigns(campaigns(spark, sf_dir), root)
+
+
+def write_uneven_lines(raw: DataFrame, entity: Entity, root: str, day: str) -> None:
+    """A source day in which one line in ten has a surplus cell and one in ten lacks the last cell."""
+    cells = [F.coalesce(F.col(f.header), F.lit("")) for f in entity.fields]
+    slot = F.col(entity.fields[0].header).cast("bigint") % 10
+    line = F.when(slot == 6, F.concat_ws("\t", *cells[:-1])).otherwise(F.concat_ws("\t", *cells))
+    line = F.when(slot == 3, F.concat(line, F.lit("\tmore"))).otherwise(line)
+    header = "\t".join(f.header for f in entity.fields)
+    raw.select(line.alias(header)).write.csv(
+        day_path(root, entity, day), sep="\x01", header=True,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+
+
+def typed_like_files(df: DataFrame, entity: Entity) -> DataFrame:
+    """The entity's columns under their file headers with the types of a lake that was written typed."""
+    kinds = {"int": "int", "long": "int", "date": "date", "time": "timestamp", "epoch": "int", "text": "string"}
+    return df.select(*[F.col(f.name).cast(kinds[f.kind]).alias(f.header) for f in entity.fields])

@@ -6,13 +6,13 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold.functions.parsing import PARSERS
 from pursefold.functions.rules import as_date
 from pursefold.operators.keyed import any_null
-from pursefold.schemas import Entity
+from pursefold.schemas import MALFORMED, Entity
 
 
 def stage_counts(**stages: DataFrame) -> DataFrame:
@@ -41,14 +41,38 @@ def key_faults(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def slot_faults(df: DataFrame, keys: Sequence[str], slot: str) -> DataFrame:
+    """Per value of ``slot``, a function of the key, what ``key_faults`` gives for the whole.
+
+    A frame that is dealt out by its key is not shuffled, only the counts of the slots are.
+    """
+    sizes = df.groupBy(*keys, slot).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy(slot).agg(
+        F.sum("n").alias("n_rows"),
+        F.count_if(~any_null(keys) & (F.col("n") > 1)).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(any_null(keys), F.col("n"))), F.lit(0)).alias("null_key_rows"),
+    )
+
+
+def refuse_repeated(faults: Row, keys: Sequence[str], name: str) -> None:
+    """Raise if a key occurs more than once; rows without a key are the caller's."""
+    if faults.repeated_keys:
+        raise ValueError(f"{name}: {faults.repeated_keys} repeated keys on ({', '.join(keys)})")
+
+
+def refuse_faults(faults: Sequence[Row], keys: Sequence[str], name: str) -> None:
+    """Raise if any of the fault counts is not zero."""
+    repeated, missing = sum(f.repeated_keys for f in faults), sum(f.null_key_rows for f in faults)
+    if repeated or missing:
+        raise ValueError(
+            f"{name}: {repeated} repeated keys and {missing} rows without a key on ({', '.join(keys)})"
+        )
+
+
 def require_key(df: DataFrame, keys: Sequence[str], name: str) -> int:
     """Row count of ``df``; raises unless ``keys`` is a primary key of it."""
     faults = key_faults(df, keys).first()
-    if faults.repeated_keys or faults.null_key_rows:
-        raise ValueError(
-            f"{name}: {faults.repeated_keys} repeated keys and "
-            f"{faults.null_key_rows} rows without a key on ({', '.join(keys)})"
-        )
+    refuse_faults([faults], keys, name)
     return faults.n_rows
 
 
@@ -63,13 +87,42 @@ def loss_metrics(entity: Entity) -> list[Column]:
     ]
 
 
+def cell_metrics(entity: Entity) -> list[Column]:
+    """Aggregates counting rows with surplus and with missing cells, by their whole lines."""
+    line = F.col(MALFORMED)
+    cells = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), "\t"))
+    surplus = line.isNotNull() & (cells > len(entity.fields))
+    return [
+        F.count_if(surplus).alias("surplus_cells"),
+        F.count_if(line.isNotNull() & ~surplus).alias("missing_cells"),
+    ]
+
+
 def parse_losses(raw: DataFrame, entity: Entity) -> DataFrame:
-    """(field, lost): cells with unreadable text, per field."""
-    lost = raw.agg(*loss_metrics(entity))
+    """(field, lost): cells with unreadable text, per field; if ``raw`` has whole lines of
+    malformed rows, also the rows with ``surplus_cells`` and with ``missing_cells``.
+    """
+    lost = raw.agg(*loss_metrics(entity), *(cell_metrics(entity) if MALFORMED in raw.columns else []))
     pairs = [F.struct(F.lit(name).alias("field"), F.col(name).alias("lost")) for name in lost.columns]
     return lost.select(F.inline(F.array(*pairs)))
 
 
+def arrivals_listed(
+    spark: SparkSession, folders: dict[str, DataFrame], start: dt.date | str, end: dt.date | str
+) -> DataFrame:
+    """(entity, store_date, present, n_files, bytes) from listings (``tsv.folders``): no file is opened.
+
+    A day is present when it has a file with a byte in it.
+    """
+    sized = {name: found.filter("bytes > 0") for name, found in folders.items()}
+    days = arrivals(spark, sized, start, end)
+    sizes = [
+        df.select(F.lit(name).alias("entity"), "store_date", "n_files", "bytes") for name, df in sized.items()
+    ]
+    sizes = reduce(DataFrame.unionByName, sizes)
+    return days.join(sizes, ["entity", "store_date"], "left").fillna(0, ["n_files", "bytes"])
+
+
 def arrivals(
     spark: SparkSession,
     observed: dict[str, DataFrame],

@@ -115,23 +115,50 @@ def new_pairs(state: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
     return batch.distinct().join(state.select(*keys), list(keys), "left_anti")
 
 
-def merge_vouchers(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """Per voucher: the latest claim, with the earliest expiry over all its rows.
+def unseen(state: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``new_pairs`` for a large stored state: its rows are only looked up, never sorted or moved.
 
-    Both sides may hold several rows per voucher. Equal claim times are decided
-    by the largest campaign, user, then status. Rows without a voucher code belong to
-    no voucher; ``split_null_keys`` gives them.
+    The semi join passes the state by the batch's keys (sent to all tasks if they are small, behind
+    Spark's runtime Bloom filter if its thresholds say so); what is left of it is no larger than the batch.
     """
-    rows = state.unionByName(batch).filter(F.col("voucher_code").isNotNull())
-    claim = F.struct("time_s", "campaign_id", "user_id", "status")
-    merged = rows.groupBy("voucher_code").agg(
-        F.max(claim).alias("claim"), F.min("actual_expire").alias("low")
-    )
+    wanted = batch.distinct()
+    known = state.select(*keys).join(wanted.select(*keys), list(keys), "left_semi")
+    return wanted.join(known, list(keys), "left_anti")
+
+
+CLAIM = ("time_s", "campaign_id", "user_id", "status")
+
+
+def _per_voucher(rows: DataFrame) -> DataFrame:
+    """(voucher_code, claim, low)."""
+    claims = rows.filter(F.col("voucher_code").isNotNull()).groupBy("voucher_code")
+    return claims.agg(F.max(F.struct(*CLAIM)).alias("claim"), F.min("actual_expire").alias("low"))
+
+
+def _voucher_rows(merged: DataFrame, names: Sequence[str]) -> DataFrame:
     return merged.select(
         *[
             c if c == "voucher_code"
             else F.col("low").alias(c) if c == "actual_expire"
             else F.col("claim")[c].alias(c)
-            for c in state.columns
+            for c in names
         ]
     )
+
+
+def merge_vouchers(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """Per voucher: the latest claim, with the earliest expiry over all its rows.
+
+    Both sides may hold several rows per voucher. Equal claim times are decided
+    by the largest campaign, user, then status. Rows without a voucher code belong to
+    no voucher; ``split_null_keys`` gives them.
+    """
+    return _voucher_rows(_per_voucher(state.unionByName(batch)), state.columns)
+
+
+def merge_into_vouchers(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """``merge_vouchers`` for a state with one row per voucher, which is joined instead of grouped again."""
+    old = state.select("voucher_code", F.struct(*CLAIM).alias("old_claim"), F.col("actual_expire").alias("old_low"))
+    both = old.join(_per_voucher(batch), "voucher_code", "full")
+    claim, low = F.greatest("old_claim", "claim"), F.least("old_low", "low")
+    return _voucher_rows(both.select("voucher_code", claim.alias("claim"), low.alias("low")), state.columns)

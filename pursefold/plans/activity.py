@@ -16,6 +16,7 @@ from pursefold.operators.merge import (
     merge_first_last_ties,
     merge_pairs,
     new_pairs,
+    unseen,
 )
 from pursefold.schemas import PAYMENT_TYPE
 
@@ -111,6 +112,11 @@ def user_apps_new(state: DataFrame, txn: DataFrame) -> DataFrame:
     return new_pairs(state, user_apps(txn), ["user_id", "app_id"])
 
 
+def user_apps_insert(state: DataFrame, txn: DataFrame) -> DataFrame:
+    """``user_apps_new`` for a stored state."""
+    return unseen(state, user_apps(txn), ["user_id", "app_id"])
+
+
 def user_payment_sources(txn: DataFrame) -> DataFrame:
     """Distinct (user, payment channel)."""
     return _pairs(txn, "pmc_id")
@@ -122,3 +128,8 @@ def user_payment_sources_update(state: DataFrame, txn: DataFrame) -> DataFrame:
 
 def user_payment_sources_new(state: DataFrame, txn: DataFrame) -> DataFrame:
     return new_pairs(state, user_payment_sources(txn), ["user_id", "pmc_id"])
+
+
+def user_payment_sources_insert(state: DataFrame, txn: DataFrame) -> DataFrame:
+    """``user_payment_sources_new`` for a stored state."""
+    return unseen(state, user_payment_sources(txn), ["user_id", "pmc_id"])

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import or_
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from pursefold.operators.audit import loss_metrics, require_key, stage_counts
+from pursefold.functions.parsing import PARSERS
+from pursefold.functions.rules import as_date
+from pursefold.operators.audit import cell_metrics, key_faults, loss_metrics, refuse_repeated, require_key
 from pursefold.operators.keyed import split_null_keys
 from pursefold.plans import activity, profile, promotion
 from pursefold.schemas import (
@@ -18,6 +22,7 @@ from pursefold.schemas import (
     DAILY_ENTITIES,
     PAYMENT,
     PROMOTIONS,
+    SUCCESS_STATUS,
     TARGETS,
     TRANSACTIONS,
     USER_APP,
@@ -26,7 +31,7 @@ from pursefold.schemas import (
     USER_PROMOTION,
     USERS,
     VOUCHER,
-    Target,
+    Entity,
 )
 from pursefold.sources import lake, tsv
 from pursefold.sources.state import StateStore
@@ -53,84 +58,105 @@ def run_day(
     store_date: dt.date | str,
     as_of: dt.date | str | None = None,
     mode: str = "fold",
+    again: bool = False,
 ) -> DataFrame:
     """Bring the tables up to date with one day, entity by entity as far as it has data.
 
     Rows without a key are kept out of the tables. Returns (stage, n): per
-    entity its rows in the lake, those rejected for want of a key and the cells
-    lost to unreadable text, and promotions of unknown campaigns; per table its rejected
-    rows and its new size. ``as_of`` is the day after ``store_date`` if not given.
+    entity its rows in the lake, those rejected for want of a key, the cells
+    lost to unreadable text and the rows with surplus or missing cells (their lines are kept, see
+    ``lake.read_malformed``), and promotions of unknown campaigns; per table its rejected
+    rows and its new size. All are counted by the jobs that write; a stage that Spark has to
+    repeat may be counted twice. ``as_of`` is the day after ``store_date`` if not given.
+
+    A table that has the day already is left as it is, so that a day cut off between tables can
+    be repeated, in either mode; ``again`` merges a day that was delivered anew.
     """
     if as_of is None:  # the day the run is due
         as_of = dt.date.fromisoformat(str(store_date)) + dt.timedelta(days=1)
-    flags = day_flags(spark, source_root, store_date)
-    counted: dict[str, DataFrame] = {}
-    known: list[tuple[str, int]] = []
-
-    def land(entity):
-        """Write the day to the lake; later steps read it back from there."""
-        losses = Observation()
-        raw = tsv.read_raw(spark, tsv.day_path(source_root, entity, store_date), entity)
-        raw = raw.observe(losses, *loss_metrics(entity))
+    known: dict[str, int] = {}
+
+    def land(entity: Entity) -> DataFrame | None:
+        """Write the day to the lake and give it back as later steps read it, if there is any."""
+        if not tsv.has_rows(spark, source_root, entity, store_date):
+            return None
+        seen = Observation()
+        path = tsv.day_path(source_root, entity, store_date)
+        raw = tsv.read_raw(spark, path, entity, malformed=True).withColumn("store_date", as_date(store_date))
+        watched = raw.observe(seen, *loss_metrics(entity), *cell_metrics(entity), *_row_metrics(entity))
         if entity is TRANSACTIONS:
-            lake.write_clean_day(tsv.typed(raw, entity), lake_root, store_date)
+            lake.write_clean_day(tsv.typed(watched, entity), lake_root, store_date)
         else:
-            lake.write_raw_day(raw, lake_root, entity, store_date)
-        lost = losses.get
-        known.extend((f"{entity.folder}.lost.{field}", n) for field, n in lost.items() if n)
+            lake.write_raw_day(watched, lake_root, entity, store_date)
+        found = seen.get
+        for name in _row_metrics(entity, names=True):
+            known[name] = found.pop(name)
+        known.update({f"{entity.folder}.lost.{field}": n for field, n in found.items() if n})
+        if found["surplus_cells"] or found["missing_cells"]:
+            lake.write_malformed(raw, lake_root, entity)
         day = lake.read_lake_day(spark, lake_root, entity, store_date)
-        counted[f"{entity.folder}.rows"] = day
-        return with_key(day, entity.key, entity.folder)
-
-    def with_key(rows, key, name):
-        full, rejected = split_null_keys(rows, key)
-        counted[f"{name}.rejected"] = rejected
-        return full
-
-    updates: list[tuple[Target, Callable[[DataFrame], DataFrame]]] = []
-
-    if flags[USERS.folder]:
-        users = land(USERS)
-        updates += [(USER_INFO, lambda old: profile.profile_update(old, users))]
-
-    if flags[TRANSACTIONS.folder]:
-        txn = land(TRANSACTIONS)
-        with_app = with_key(txn, USER_APP.key, USER_APP.name)
-        with_source = with_key(txn, USER_PMC.key, USER_PMC.name)
-        updates += [
-            (PAYMENT, lambda old: activity.payment_update(old, txn, mode)),
-            (ACTIVE, lambda old: activity.activity_update(old, txn, mode)),
-            (USER_APP, lambda old: activity.user_apps_update(old, with_app)),
-            (USER_PMC, lambda old: activity.user_payment_sources_update(old, with_source)),
-        ]
+        return split_null_keys(day, entity.key)[0]
 
-    if flags[PROMOTIONS.folder]:
-        promotions = land(PROMOTIONS)
-        with_key(promotions, VOUCHER.key, VOUCHER.name)
-        campaigns = tsv.read_campaigns(spark, f"{source_root}/{CAMPAIGNS.folder}")
-        campaigns = with_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
-        require_key(campaigns, CAMPAIGNS.key, CAMPAIGNS.folder)
-        counted[f"{PROMOTIONS.folder}.unknown_campaign"] = promotions.join(
-            campaigns, CAMPAIGNS.key[0], "left_anti"
-        )
-        updates += [
-            (
-                USER_PROMOTION,
-                lambda old: promotion.promotion_update(old, promotions, campaigns, as_of),
-            ),
-            (VOUCHER, lambda old: promotion.voucher_merge(old, promotions, campaigns)),
-        ]
+    unknown: list[Observation] = []
 
-    def update(item):
-        target, merge = item
-        return f"{target.name}.rows", state.update(target, merge, str(store_date))
+    def promoted(old: DataFrame) -> DataFrame:
+        unknown.append(Observation())
+        return promotion.promotion_update(old, promotions, campaigns, as_of, unknown[-1])
 
-    # No table depends on another, so their jobs may run side by side.
+    # No table depends on another, nor does an entity, so their jobs may run side by side.
     with ThreadPoolExecutor(max_workers=len(TARGETS)) as pool:
-        known.extend(pool.map(inheritable_thread_target(spark)(update), updates))
-
-    report = spark.createDataFrame(known, "stage string, n bigint")
-    return report.unionByName(stage_counts(**counted)) if counted else report
+        side_by_side = lambda f, items: list(pool.map(inheritable_thread_target(spark)(f), items))
+        users, txn, promotions = side_by_side(land, DAILY_ENTITIES.values())
+        #: Table, how it changes, the batch, and how the store applies it.
+        updates = []
+        if users is not None:
+            updates += [(USER_INFO, lambda old: profile.profile_update(old, users), users, state.update)]
+        if txn is not None:
+            full = lambda target: split_null_keys(txn, target.key)[0]
+            updates += [
+                (PAYMENT, lambda old: activity.payment_update(old, txn, mode), activity.payments(txn), state.update),
+                (ACTIVE, lambda old: activity.activity_update(old, txn, mode), txn, state.update),
+                (USER_APP, lambda old: activity.user_apps_insert(old, txn), full(USER_APP), state.append),
+                (USER_PMC, lambda old: activity.user_payment_sources_insert(old, txn), full(USER_PMC), state.append),
+            ]
+        if promotions is not None:
+            campaigns = tsv.read_campaigns(spark, f"{source_root}/{CAMPAIGNS.folder}")
+            faults = key_faults(campaigns, CAMPAIGNS.key).first()
+            known[f"{CAMPAIGNS.folder}.rejected"] = faults.null_key_rows
+            refuse_repeated(faults, CAMPAIGNS.key, CAMPAIGNS.folder)
+            campaigns, _ = split_null_keys(campaigns, CAMPAIGNS.key)
+            coded, _ = split_null_keys(promotions, VOUCHER.key)
+            updates += [
+                (USER_PROMOTION, promoted, promotions, state.update),
+                (VOUCHER, lambda old: promotion.voucher_merge(old, coded, campaigns), coded, state.update),
+            ]
+
+        def update(item):
+            target, change, batch, apply = item
+            if not again and state.has_day(target, str(store_date)):
+                return f"{target.name}.rows", None
+            return f"{target.name}.rows", apply(target, change, str(store_date), batch)
+
+        known.update((name, n) for name, n in side_by_side(update, updates) if n is not None)
+    if unknown:
+        known[f"{PROMOTIONS.folder}.unknown_campaign"] = unknown[-1].get["n"]
+    return spark.createDataFrame(list(known.items()), "stage string, n bigint")
+
+
+def _row_metrics(entity: Entity, names: bool = False) -> list:
+    """Counts over a day's raw rows, each under its stage's name: the rows that go into the lake, and
+    those that tables reject for want of a key."""
+    kinds = {f.name: PARSERS[f.kind](F.col(f.header)) for f in entity.fields}
+    stored = kinds["trans_status"] == SUCCESS_STATUS if entity is TRANSACTIONS else F.lit(True)
+
+    def missing(key):
+        return reduce(or_, [kinds[k].isNull() for k in key])
+
+    keyed = stored & ~missing(entity.key)
+    counts = {f"{entity.folder}.rows": stored, f"{entity.folder}.rejected": stored & missing(entity.key)}
+    for target in {TRANSACTIONS: (USER_APP, USER_PMC), PROMOTIONS: (VOUCHER,)}.get(entity, ()):
+        counts[f"{target.name}.rejected"] = keyed & missing(target.key)
+    return list(counts) if names else [F.count_if(met).alias(name) for name, met in counts.items()]
 
 
 def load_history(
@@ -164,4 +190,6 @@ def load_history(
             (USER_PROMOTION, promotion.latest_promotion(claims, campaigns, as_of)),
             (VOUCHER, promotion.voucher_update(claims, claims.limit(0), campaigns)),
         ]
-    return {target.name: state.publish(table, target) for target, table in loads}
+    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+        load = inheritable_thread_target(spark)(lambda item: (item[0].name, state.publish(item[1], item[0])))
+        return dict(pool.map(load, loads))

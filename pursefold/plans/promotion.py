@@ -4,22 +4,31 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pursefold.functions.rules import actual_expire, is_expired, voucher_expire
 from pursefold.operators.keyed import latest_by_key, with_group_min
-from pursefold.operators.merge import merge_overwrite, merge_vouchers
+from pursefold.operators.merge import merge_into_vouchers, merge_overwrite
 from pursefold.schemas import EARLIER_EXPIRY_CAMPAIGN, USER_PROMOTION, VOUCHER
 
 
-def promotion_with_campaign(promotions: DataFrame, campaigns: DataFrame) -> DataFrame:
+def promotion_with_campaign(
+    promotions: DataFrame, campaigns: DataFrame, unknown: Observation | None = None
+) -> DataFrame:
     """Promotions with their campaign and ``voucher_expire`` = claim time + validity.
 
-    ``campaigns`` has one row per id; promotions of unknown campaigns drop out. Spark
-    broadcasts the campaigns if they are small in bytes and splits hot ones if not.
+    ``campaigns`` has one row per id; promotions of unknown campaigns drop out, and ``unknown``
+    counts them (``n``) while the result is computed. Spark broadcasts the campaigns if they are
+    small in bytes and splits hot ones if not.
     """
-    joined = promotions.join(campaigns, "campaign_id")
+    if unknown is None:
+        joined = promotions.join(campaigns, "campaign_id")
+    else:
+        known = campaigns.withColumn("known", F.lit(True))
+        joined = promotions.join(known, "campaign_id", "left")
+        joined = joined.observe(unknown, F.count_if(F.col("known").isNull()).alias("n"))
+        joined = joined.filter("known").drop("known")
     return joined.withColumn(
         "voucher_expire", voucher_expire(F.col("time_s"), F.col("expire_secs"))
     )
@@ -38,8 +47,11 @@ def actual_expiry(claims: DataFrame) -> DataFrame:
     )
 
 
-def _dated_status(promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str) -> DataFrame:
-    claims = actual_expiry(promotion_with_campaign(promotions, campaigns))
+def _dated_status(
+    promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str,
+    unknown: Observation | None = None,
+) -> DataFrame:
+    claims = actual_expiry(promotion_with_campaign(promotions, campaigns, unknown))
     return claims.withColumn("expired", is_expired(F.col("actual_expire"), as_of))
 
 
@@ -52,20 +64,22 @@ def promotion_status(
 
 
 def latest_promotion(
-    promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str
+    promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str,
+    unknown: Observation | None = None,
 ) -> DataFrame:
     """One status per (user, campaign): that of the latest claim, then largest voucher code."""
-    dated = _dated_status(promotions, campaigns, as_of).filter(F.col("user_id").isNotNull())
+    dated = _dated_status(promotions, campaigns, as_of, unknown).filter(F.col("user_id").isNotNull())
     columns = USER_PROMOTION.names
     claims = dated.select(*columns, "time_s", "voucher_code")
     return latest_by_key(claims, USER_PROMOTION.key, ["time_s", "voucher_code"]).select(*columns)
 
 
 def promotion_update(
-    state: DataFrame, promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str
+    state: DataFrame, promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str,
+    unknown: Observation | None = None,
 ) -> DataFrame:
     """Merge a batch of promotions; its (user, campaign) rows replace the stored ones."""
-    batch = latest_promotion(promotions, campaigns, as_of)
+    batch = latest_promotion(promotions, campaigns, as_of, unknown)
     return merge_overwrite(state, batch, USER_PROMOTION.key)
 
 
@@ -80,8 +94,8 @@ def voucher_claims(
 
 
 def voucher_merge(state: DataFrame, promotions: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Merge a batch of promotions into stored vouchers."""
-    return merge_vouchers(state, voucher_claims(promotions, campaigns))
+    """Merge a batch of promotions into stored vouchers, which have one row each."""
+    return merge_into_vouchers(state, voucher_claims(promotions, campaigns))
 
 
 def voucher_update(base: DataFrame, update: DataFrame, campaigns: DataFrame) -> DataFrame:

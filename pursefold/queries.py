@@ -5,6 +5,7 @@ Times and dates leave as zone-free timestamps, the form the tables' own times ha
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from functools import wraps
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold import bindings as b
+from pursefold.functions.parsing import to_second
 from pursefold.operators import audit
 from pursefold.operators.cleaning import clean_transactions
 from pursefold.operators.keyed import keep_last_ties, seed_first_last, split_null_keys
@@ -34,7 +36,7 @@ from pursefold.schemas import (
 from pursefold.sources import lake
 from pursefold.sources.paths import shared_folder
 from pursefold.sources.state import StateStore
-from pursefold.sources.tsv import day_path, read_entity, read_raw, typed
+from pursefold.sources.tsv import day_path, folders, read_entity, read_raw, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -373,6 +375,93 @@ def lake_by_folder(spark, sf_dir):
     return lake.read_foreign_lake(spark, folder, PROMOTIONS)
 
 
+@query
+def lake_mixed_types(spark, sf_dir):
+    """Claims of a lake in another folder, of which one day is stored as text and one typed."""
+    folder = shared_folder(spark)
+    base, update = b.base_and_update(b.promotions(spark, sf_dir))
+    b.as_text(base, PROMOTIONS).write.parquet(f"{folder}/promotion/{b.SOURCE_DAYS[0]}")
+    b.typed_like_files(update, PROMOTIONS).write.parquet(f"{folder}/promotion/{b.SOURCE_DAYS[1]}")
+    return lake.read_foreign_lake(spark, folder, PROMOTIONS, "promotion")
+
+
+@query
+def lake_typed_users(spark, sf_dir):
+    """Profiles of a lake in another folder, of which one day is stored typed and one as text."""
+    folder = shared_folder(spark)
+    base, update = b.base_and_update(b.users(spark, sf_dir))
+    b.typed_like_files(base, USERS).write.parquet(f"{folder}/user/{b.SOURCE_DAYS[0]}")
+    b.as_text(update, USERS).write.parquet(f"{folder}/user/{b.SOURCE_DAYS[1]}")
+    users = lake.read_foreign_lake(spark, folder, USERS, "user")
+    return users.withColumn("updated_time", to_second(F.col("updated_time")))
+
+
+@query
+def surplus_cells(spark, sf_dir):
+    """Parse losses of a source day in which some lines have a cell too many or too few."""
+    folder = shared_folder(spark)
+    b.write_uneven_lines(b.transactions_as_text(spark, sf_dir), TRANSACTIONS, folder, b.SOURCE_DAYS[0])
+    raw = read_raw(spark, day_path(folder, TRANSACTIONS, b.SOURCE_DAYS[0]), TRANSACTIONS, malformed=True)
+    return audit.parse_losses(raw, TRANSACTIONS)
+
+
+@query
+def malformed_lines(spark, sf_dir):
+    """Lines with a cell too many or too few, as they are kept beside the lake, by their number of cells."""
+    folder = shared_folder(spark)
+    b.write_uneven_lines(b.transactions_as_text(spark, sf_dir), TRANSACTIONS, folder, b.SOURCE_DAYS[0])
+    lake.backfill(spark, folder, f"{folder}/lake", TRANSACTIONS)
+    lines = lake.read_malformed(spark, f"{folder}/lake", TRANSACTIONS)
+    cells = F.size(F.split("line", "\t")).alias("n_cells")
+    return lines.groupBy("store_date", cells).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def backfill_folders(spark, sf_dir):
+    """Folders found by a backfill, one of them named like no day, with the rows that reached the lake."""
+    folder = shared_folder(spark)
+    for day, part in zip((b.SOURCE_DAYS[0], "20240202"), b.base_and_update(b.users(spark, sf_dir))):
+        b.write_source_day(part, USERS, f"{folder}/source", day)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)
+        found = lake.backfill(spark, f"{folder}/source", f"{folder}/lake", USERS)
+    stored = lake.read_lake(spark, f"{folder}/lake", USERS).groupBy("store_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.join(stored, "store_date", "left").select("folder", "store_date", "read", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@query
+def arrivals_listed(spark, sf_dir):
+    """Which entities have files for a day, from the listing of the source folders."""
+    folder = shared_folder(spark)
+    base, update = b.base_and_update(b.promotions(spark, sf_dir))
+    b.write_source_day(base, PROMOTIONS, folder, b.SOURCE_DAYS[0])
+    b.write_source_day(update, PROMOTIONS, folder, b.SOURCE_DAYS[1])
+    b.write_source_day(b.base_and_update(b.users(spark, sf_dir))[1], USERS, folder, b.SOURCE_DAYS[1])
+    found = {e.folder: folders(spark, folder, e.folder) for e in (USERS, TRANSACTIONS, PROMOTIONS)}
+    return audit.arrivals_listed(spark, found, "2024-01-31", "2024-02-03").drop("n_files", "bytes")
+
+
+@query
+def daily_report(spark, sf_dir):
+    """The report of a day of users and transactions."""
+    folder = shared_folder(spark)
+    for entity, bound in ((USERS, b.users(spark, sf_dir)), (TRANSACTIONS, b.transactions(spark, sf_dir))):
+        b.write_source_day(b.base_and_update(bound)[0], entity, f"{folder}/source", b.SOURCE_DAYS[0])
+    return daily.run_day(spark, f"{folder}/source", f"{folder}/lake", StateStore(spark, f"{folder}/state"), b.SOURCE_DAYS[0])
+
+
+@query
+def daily_either_rerun(spark, sf_dir):
+    """Payments after two daily runs that move one end a run, each of them repeated."""
+    folder = shared_folder(spark)
+    state = StateStore(spark, f"{folder}/state")
+    for day, part in zip(b.SOURCE_DAYS, b.base_and_update(b.transactions(spark, sf_dir))):
+        b.write_source_day(part, TRANSACTIONS, f"{folder}/source", day)
+        for _ in range(2):
+            daily.run_day(spark, f"{folder}/source", f"{folder}/lake", state, day, mode="either")
+    return state.read(PAYMENT).withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
 @query
 def voucher_daily(spark, sf_dir):
     """Vouchers after two daily runs."""

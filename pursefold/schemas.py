@@ -46,6 +46,9 @@ class Target:
         return ", ".join(f"{name} {kind}" for name, kind in self.columns.items())
 
 
+#: Column with the whole line of a row that has more or fewer cells than the header; NULL for all other rows.
+MALFORMED = "malformed_line"
+
 # Folder names and file headers of the daily feeds.
 USERS = Entity(
     "users",

@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pursefold.functions.parsing import PARSERS
-from pursefold.schemas import CAMPAIGNS, Entity
-from pursefold.sources.paths import exists
+from pursefold.schemas import CAMPAIGNS, MALFORMED, Entity
+from pursefold.sources.paths import exists, listed
 
-DAY_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 DAY_IN_PATH = r"/(\d{4}-\d{2}-\d{2})(?:/|$)"
 
 
-def read_raw(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], entity: Entity, malformed: bool = False) -> DataFrame:
     """All columns as text. A file whose header differs from the entity's fails the read.
 
-    Short rows are filled with NULL.
+    Short rows are filled with NULL and surplus cells cut off; with ``malformed`` a further
+    column holds the lines of such rows.
     """
-    return spark.read.schema(entity.raw_schema).csv(
-        path, sep="\t", header=True, enforceSchema=False, mode="PERMISSIVE"
+    schema = entity.raw_schema.add(MALFORMED, "string") if malformed else entity.raw_schema
+    # Spark only counts the cells of rows that it parses whole.
+    reader = spark.read.schema(schema).option("columnPruning", not malformed)
+    return reader.csv(
+        path, sep="\t", header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED
     )
 
 
@@ -57,17 +61,41 @@ def has_rows(spark: SparkSession, root: str, entity: Entity, store_date: dt.date
     return exists(spark, path) and not read_raw(spark, path, entity).isEmpty()
 
 
+def folders(spark: SparkSession, root: str, folder: str) -> DataFrame:
+    """(folder, store_date, n_files, bytes, read): every folder below an entity's one, from the listing alone.
+
+    Files directly in a folder named like a day, and plain files so named, are that day's; what
+    lies elsewhere, deeper ones as well, is not read and has no day.
+    """
+    files = listed(spark, f"{root}/{folder}")
+    parent = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    files = files.withColumn("folder", F.when(parent == "", F.col("path")).otherwise(parent))
+    counted = files.groupBy("folder").agg(F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("bytes"))
+    day = F.when(F.col("folder").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col("folder").try_cast("date"))
+    return counted.select("folder", day.alias("store_date"), "n_files", "bytes", day.isNotNull().alias("read"))
+
+
+def days_in(spark: SparkSession, root: str, folder: str) -> tuple[list[str], DataFrame]:
+    """The days that an entity's folder holds, and all its ``folders``. Warns of those passed over."""
+    found = spark.createDataFrame(folders(spark, root, folder).collect(), "folder string, store_date date, n_files bigint, bytes bigint, read boolean")
+    rows = found.collect()
+    over = sorted(r.folder for r in rows if not r.read)
+    if over:
+        warnings.warn(f"{root}/{folder}: {len(over)} folders that name no day are passed over: {', '.join(over[:10])}", stacklevel=3)
+    return sorted(r.folder for r in rows if r.read), found
+
+
 def read_raw_days(
-    spark: SparkSession, root: str, entity: Entity, days: list[dt.date | str] | None = None
+    spark: SparkSession, root: str, entity: Entity, days: list[dt.date | str] | None = None, malformed: bool = False
 ) -> DataFrame:
     """Text of several days in one scan, with ``store_date`` from the path.
 
-    By default all folders named like a day; others are no days and are left alone.
+    By default all folders named like a day (see ``folders``).
     """
-    path = f"{root}/{entity.folder}/{DAY_GLOB}" if days is None else [
-        day_path(root, entity, day) for day in days
-    ]
-    return read_raw(spark, path, entity).withColumn("store_date", day_of_file())
+    if days is None:
+        days, _ = days_in(spark, root, entity.folder)
+    paths = [day_path(root, entity, day) for day in days] or f"{root}/{entity.folder}"
+    return read_raw(spark, paths, entity, malformed).withColumn("store_date", day_of_file())
 
 
 def read_days(

@@ -144,10 +144,70 @@ def test_expired_uses_as_of(spark, tmp_path):
     put_day(root, PROMOTIONS, DAYS[0], "1\tv\tA\t7\t1635724800")
     put(f"{root}/{CAMPAIGNS.folder}/c.csv", header(CAMPAIGNS), "7\t1\t2021-11-05 00:00:00\t1")
     for as_of, expired in ((None, False), ("2021-11-06", True)):
-        store, _ = run(spark, root, tmp_path, [DAYS[0]], as_of=as_of)
+        store, _ = run(spark, root, tmp_path, [DAYS[0]], as_of=as_of, again=True)
         assert tables(store)["user_promotion"] == [("1", 7, "A", expired)]
 
 
 def test_store_date_is_the_day_before():
     assert daily.store_date_for(dt.date(2022, 3, 1)) == dt.date(2022, 2, 28)
     assert ts("2022-02-28").date() == dt.date(2022, 2, 28)
+
+
+def test_a_day_that_was_cut_off_can_be_repeated(spark, source, tmp_path, monkeypatch):
+    """Some tables have the day, others not; in either mode a second merge would move further ends."""
+    whole, _ = run(spark, source, tmp_path / "whole", DAYS, mode="either")
+    store = StateStore(spark, str(tmp_path / "cut" / "state"))
+    enter = StateStore._enter
+
+    def cut(self, target, *rest, **more):
+        if target.name in ("user_pmc", "active", "voucher"):
+            raise OSError("the day is cut off")
+        return enter(self, target, *rest, **more)
+
+    lake_root = str(tmp_path / "cut" / "lake")
+    for day in DAYS:
+        with monkeypatch.context() as patch:
+            patch.setattr(StateStore, "_enter", cut)
+            with pytest.raises(OSError):
+                daily.run_day(spark, source, lake_root, store, day, mode="either")
+        for _ in range(2):
+            daily.run_day(spark, source, lake_root, store, day, mode="either")
+    assert tables(store) == tables(whole)
+
+
+def test_a_repeated_day_is_not_merged_again(spark, source, in_order, tmp_path):
+    store, (first, second) = run(spark, source, tmp_path, [DAYS[0]] * 2)
+    assert {s for s in first if s not in second} == {f"{t}.rows" for t in TARGETS} | {"promotions.unknown_campaign"}
+    assert store.current_version(TARGETS["payment"]) == 1
+    run(spark, source, tmp_path, [DAYS[0]], again=True)
+    assert store.current_version(TARGETS["payment"]) == 2
+
+
+def test_lines_with_surplus_or_missing_cells_are_kept_and_reported(spark, tmp_path):
+    root = str(tmp_path / "source")
+    lines = ["1\t1990-01-01\t1\t1\t2021-11-01 00:00:00\tmore\tcells", "2\t1990-01-01", "3\t1990-01-01\t1\t1\t2021-11-01 00:00:00"]
+    put_day(root, USERS, DAYS[0], *lines)
+    put_day(root, TRANSACTIONS, DAYS[0], "t1\t1\t1\t2021-11-01 00:00:00\t5\t3\t100\t1\tx", "t2\t0\t1")
+    store, (report,) = run(spark, root, tmp_path, [DAYS[0]])
+    lost = {stage: n for stage, n in report.items() if ".lost." in stage}
+    assert lost == {f"{e}.lost.{kind}_cells": 1 for e in ("users", "transactions") for kind in ("surplus", "missing")}
+    day = dt.date.fromisoformat(DAYS[0])
+    assert rows(lake.read_malformed(spark, str(tmp_path / "lake"), USERS)) == [(line, day) for line in lines[:2]]
+    assert lake.read_malformed(spark, str(tmp_path / "lake"), TRANSACTIONS).count() == 2
+    assert lake.read_malformed(spark, str(tmp_path / "lake"), PROMOTIONS).count() == 0
+    assert [r[0] for r in tables(store, ["user_info"])["user_info"]] == ["1", "2", "3"]
+    assert len(tables(store, ["payment"])["payment"]) == 1
+
+
+def test_the_report_reads_no_data(spark, source, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state"))
+    report = daily.run_day(spark, source, str(tmp_path / "lake"), store, DAYS[0])
+    assert "FileScan" not in report._jdf.queryExecution().executedPlan().toString()
+    counted = dict(rows(report))
+    day = lake.read_lake_day(spark, str(tmp_path / "lake"), PROMOTIONS, DAYS[0])
+    assert counted["promotions.rows"] == day.count()
+    assert counted["promotions.rejected"] == day.filter("user_id is null or campaign_id is null").count()
+    txn = lake.read_lake_day(spark, str(tmp_path / "lake"), TRANSACTIONS, DAYS[0])
+    assert counted["transactions.rows"] == txn.count()
+    assert counted["user_pmc.rejected"] == txn.filter("user_id is not null and pmc_id is null").count()
+    assert counted["promotions.unknown_campaign"] == 0 and counted["configs.rejected"] == 0

@@ -13,7 +13,8 @@ from tests.test_oracles import SF_DIR
 
 WRITES_FIRST = {
     "daily_run", "backfilled_lake_days", "profiles_text_ids", "raw_lake_text", "lake_by_folder",
-    "voucher_daily", "history_load",
+    "voucher_daily", "history_load", "lake_mixed_types", "lake_typed_users", "surplus_cells",
+    "malformed_lines", "backfill_folders", "arrivals_listed", "daily_report", "daily_either_rerun",
 }
 
 

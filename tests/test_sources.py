@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 
+from pursefold.operators import audit
 from pursefold.schemas import (
     CAMPAIGNS,
     DAILY_ENTITIES,
@@ -199,3 +200,78 @@ def test_a_table_with_a_broken_key_is_not_published(spark, tmp_path, bad):
 def test_missing_lake_is_an_error(spark, lake_root):
     with pytest.raises(AnalysisException):
         lake.read_lake(spark, lake_root, USERS)
+
+
+def test_malformed_lines(spark, root):
+    put_day(root, PROMOTIONS, "2021-11-01", "7\tv1\tUSED\t3\t1", "8\tv2\tUSED\t3\t1\tx\ty", "9\tv3", '"a\tb"\tv4\tUSED\t3\t1')
+    raw = tsv.read_raw(spark, tsv.day_path(root, PROMOTIONS, "2021-11-01"), PROMOTIONS, malformed=True)
+    assert rows(raw.filter("malformed_line is not null"), "userid", "malformed_line") == [("8", "8\tv2\tUSED\t3\t1\tx\ty"), ("9", "9\tv3")]
+    assert rows(raw.filter("malformed_line is null"), "userid") == [("7",), ("a\tb",)]
+    lost = dict(rows(audit.parse_losses(raw, PROMOTIONS)))
+    assert (lost["surplus_cells"], lost["missing_cells"]) == (1, 1)
+    assert "surplus_cells" not in dict(rows(audit.parse_losses(raw.drop("malformed_line"), PROMOTIONS)))
+
+
+def test_folders_passed_over_are_reported(spark, root, lake_root):
+    line = "1\t1990-01-01\t1\t1\t2021-11-01 00:00:00"
+    for folder in ("2021-11-01", "20211102", "2021-13-45", "2021-11-03/deeper"):
+        put_day(root, USERS, folder, line)
+    put(f"{root}/users/2021-11-04", header(USERS), line)
+    put(f"{root}/users/notes.txt", "x")
+    with pytest.warns(UserWarning, match="20211102"):
+        found = lake.backfill(spark, root, lake_root, USERS)
+    day = lambda n: dt.date(2021, 11, n)
+    assert rows(found, "folder", "store_date", "n_files", "read") == [
+        ("2021-11-01", day(1), 1, True), ("2021-11-03/deeper", None, 1, False), ("2021-11-04", day(4), 1, True),
+        ("2021-13-45", None, 1, False), ("20211102", None, 1, False), ("notes.txt", None, 1, False),
+    ]
+    assert rows(lake.read_lake(spark, lake_root, USERS), "store_date") == [(day(1),), (day(4),)]
+    plan = tsv.folders(spark, root, "users")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    assert tsv.folders(spark, root, "nothing").count() == 0
+
+
+def test_backfill_keeps_malformed_lines(spark, root, lake_root):
+    put_day(root, USERS, "2021-11-01", "1\t1990-01-01\t1\t1\t2021-11-01 00:00:00", "2\t1990-01-01")
+    put_day(root, USERS, "2021-11-02", "3\t1990-01-01\t1\t1\t2021-11-01 00:00:00\tmore")
+    lake.backfill(spark, root, lake_root, USERS)
+    assert rows(lake.read_malformed(spark, lake_root, USERS)) == [
+        ("2\t1990-01-01", dt.date(2021, 11, 1)), ("3\t1990-01-01\t1\t1\t2021-11-01 00:00:00\tmore", dt.date(2021, 11, 2)),
+    ]
+    assert lake.read_lake(spark, lake_root, USERS).count() == 3
+
+
+def test_a_lake_whose_days_have_types_of_their_own(spark, lake_root):
+    time = "timestamp '2021-11-01 10:20:30.5'"
+    days = {
+        "2021-11-01": f"'1' userid, date '1990-01-01' birthdate, '2' profileLevel, 1 gender, {time} updatedTime",
+        "2021-11-02": "'2' userid, '1990-01-02' birthdate, 'x' profileLevel, '1.0' gender, '2021-11-02T00:00:00' updatedTime",
+        "2021-11-03": "3 userid, '1990-01-03' birthdate, 4L PROFILELEVEL, 1735689600 updatedTime, 'y' other",
+        "2021-11-04": f"'4' userid, {time} birthdate, 99999999999L profileLevel, true gender, cast({time} as timestamp_ntz) updatedTime",
+    }
+    for day, columns in days.items():
+        spark.sql(f"select {columns}").write.parquet(f"{lake_root}/user/{day}")
+    spark.sql("select 1 userid").write.parquet(f"{lake_root}/user/old")
+    with pytest.warns(UserWarning, match="old"):
+        got = lake.read_foreign_lake(spark, lake_root, USERS, "user")
+    at = ts("2021-11-01 10:20:30.500000")
+    assert rows(got.drop("store_date")) == [
+        ("1", dt.date(1990, 1, 1), 2, 1, at), ("2", dt.date(1990, 1, 2), None, 1, ts("2021-11-02")),
+        ("3", dt.date(1990, 1, 3), 4, None, ts("2025-01-01")), ("4", dt.date(2021, 11, 1), None, 1, at),
+    ]
+    assert rows(got, "store_date") == [(dt.date(2021, 11, n),) for n in (1, 2, 3, 4)]
+    spark.sql("select '7' userid, 'v' voucherCode, 'A' status, 3 campaignID, timestamp '2021-11-01 10:20:30' time").write.parquet(f"{lake_root}/promotion/2021-11-01")
+    assert rows(lake.read_foreign_lake(spark, lake_root, PROMOTIONS, "promotion").drop("store_date")) == [("7", "v", "A", 3, 1635762030)]
+    with pytest.raises(FileNotFoundError):
+        lake.read_foreign_lake(spark, lake_root, TRANSACTIONS)
+
+
+def test_arrivals_from_listings(spark, root):
+    put_day(root, USERS, "2021-11-01", "1\t1990-01-01\t1\t1\t2021-11-01 00:00:00")
+    put_day(root, USERS, "2021-11-02", "1\t1990-01-01\t1\t1\t2021-11-01 00:00:00")
+    os.makedirs(f"{root}/users/2021-11-03")
+    put(f"{root}/users/2021-11-04/empty.csv")
+    found = {e.folder: tsv.folders(spark, root, e.folder) for e in (USERS, PROMOTIONS)}
+    got = audit.arrivals_listed(spark, found, "2021-11-01", "2021-11-04")
+    assert rows(got.filter("present = 1"), "entity", "store_date", "n_files") == [("users", dt.date(2021, 11, n), 1) for n in (1, 2)]
+    assert got.count() == 8 and got.filter("entity = 'users' and present = 1 and bytes > 50").count() == 2

@@ -1,0 +1,199 @@
+"""Tables in slots: what a day reads and writes, and what it leaves alone."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pursefold.operators.merge import merge_into_vouchers, merge_newer, merge_overwrite, merge_vouchers, new_pairs, unseen
+from pursefold.plans import activity, profile, promotion
+from pursefold.schemas import PAYMENT, USER_APP, USER_INFO, USER_PMC, VOUCHER
+from pursefold.sources.state import SLOT, StateStore, slot_of
+from tests.frames import rows, ts
+from tests.test_query_plans import count, plan_of
+
+
+def users(spark, ids, day="2021-11-01"):
+    return spark.createDataFrame([(str(k), None, k % 3, 1, ts(day)) for k in ids], USER_INFO.ddl)
+
+
+def files(root):
+    return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet") and SLOT in d}
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return StateStore(spark, str(tmp_path / "state"), slots=16)
+
+
+def merged(batch):
+    return lambda old: merge_newer(old, batch, USER_INFO.key, "updated_time")
+
+
+def test_only_the_slots_of_a_batch_are_written(spark, store):
+    store.publish(users(spark, range(200)), USER_INFO, "2021-11-01")
+    before = files(store.root)
+    assert len(before) == 16  # one file a slot
+    batch = users(spark, [7, 1000], "2021-11-02")
+    assert store.update(USER_INFO, merged(batch), "2021-11-02", batch) == 201
+    new = files(store.root) - before
+    slots = {r[0] for r in batch.select(slot_of(["user_id"], 16)).collect()}
+    assert {int(re.search(rf"{SLOT}=(\d+)", f)[1]) for f in new} == slots and len(new) == len(slots)
+    assert before <= files(store.root)
+    read = store.read(USER_INFO)
+    assert rows(read, "user_id", "updated_time") == rows(users(spark, [k for k in range(200) if k != 7]).unionByName(batch), "user_id", "updated_time")
+    used = {f for f in files(store.root) if "file:" + f in set(read.inputFiles()) or "file://" + f in set(read.inputFiles())}
+    assert used >= new and len(used) == 16
+    assert rows(store.read(USER_INFO, 1)) == rows(users(spark, range(200)))
+    assert [r[0] for r in rows(store.versions(USER_INFO))] == [1, 2]
+
+
+def scans_below_exchange(plan):
+    """Stored tables that some Exchange of the plan moves."""
+    found, depths = [], []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        depths = [d for d in depths if d < depth]
+        if "Exchange" in line:
+            depths.append(depth)
+        if "pursefold_" in line and depths:
+            found.append(line.strip())
+    return found
+
+
+def test_merges_do_not_move_the_state(spark, store):
+    store.publish(users(spark, range(50)), USER_INFO)
+    store.publish(spark.createDataFrame([("1", 1), ("2", 2)], USER_APP.ddl), USER_APP)
+    claims = spark.createDataFrame([("v1", "1", 1, "A", 5, ts("2021-11-01"))], VOUCHER.ddl)
+    store.publish(claims, VOUCHER)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        txn = spark.createDataFrame([("1", 1, 1)], "user_id string, app_id int, pmc_id int")
+        plans = [
+            merged(profile.latest_profile(users(spark, [1])))(store.read(USER_INFO)),
+            merge_overwrite(store.read(USER_INFO), profile.latest_profile(users(spark, [1])), USER_INFO.key),
+            activity.user_apps_insert(store.read(USER_APP), txn),
+            merge_into_vouchers(store.read(VOUCHER), claims),
+        ]
+        for df in plans:
+            plan = plan_of(df)
+            assert "pursefold_" in plan and count(plan, "Exchange") >= 1 and not scans_below_exchange(plan), plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert scans_below_exchange(plan_of(store.read(USER_INFO).groupBy("gender").count()))  # the test can tell
+
+
+def test_the_key_check_does_not_move_the_table(spark, store, monkeypatch):
+    from pursefold.sources import state
+
+    plans = []
+    faults = state.slot_faults
+    monkeypatch.setattr(state, "slot_faults", lambda *a: plans.append(plan_of(df := faults(*a))) or df)
+    store.publish(users(spark, range(50)), USER_INFO)
+    batch = users(spark, [1, 60], "2021-11-02")
+    store.update(USER_INFO, merged(batch), None, batch)
+    assert len(plans) == 2
+    for plan in plans:  # only the counts of slots are
+        assert count(plan, "Exchange") == 1 and f"hashpartitioning({SLOT}" in plan
+
+
+def test_a_batch_with_a_repeated_key_is_refused(spark, store):
+    store.publish(users(spark, range(50)), USER_INFO)
+    twice = users(spark, [3, 3, 70], "2021-11-02")
+    with pytest.raises(ValueError, match="user_info: 1 repeated"):
+        store.update(USER_INFO, merged(twice), "2021-11-02", twice)
+    assert store.current_version(USER_INFO) == 1 and not store.has_day(USER_INFO, "2021-11-02")
+    assert rows(store.read(USER_INFO)) == rows(users(spark, range(50)))
+
+
+def test_pairs_are_only_added(spark, store):
+    first = spark.createDataFrame([(str(k), k % 3) for k in range(40)], USER_APP.ddl)
+    assert store.append(USER_APP, lambda old: unseen(old, first, USER_APP.key), "2021-11-01", first) == 40
+    before = files(store.root)
+    assert store.append(USER_APP, lambda old: unseen(old, first, USER_APP.key), "2021-11-02", first) == 40
+    assert files(store.root) == before  # nothing new, nothing written
+    more = spark.createDataFrame([("1", 1), ("1", 9), ("99", 9), ("99", 9)], USER_APP.ddl)
+    assert store.append(USER_APP, lambda old: unseen(old, more, USER_APP.key), "2021-11-03", more) == 42
+    assert before < files(store.root) and len(files(store.root)) <= len(before) + 2
+    wanted = rows(first.unionByName(more).distinct())
+    assert rows(store.read(USER_APP)) == wanted
+    assert store.compact(USER_APP) == 42
+    assert rows(store.read(USER_APP)) == rows(store.read(USER_APP, 3)) == wanted
+    assert rows(store.read(USER_APP, 2)) == rows(first)
+    assert rows(store.versions(USER_APP), "version", "n_rows") == [(1, 40), (2, 40), (3, 42), (4, 42)]
+
+
+def test_versions_can_be_removed(spark, store):
+    store.publish(users(spark, range(100)), USER_INFO, "2021-11-01")
+    for day, k in (("2021-11-02", 5), ("2021-11-03", 6)):
+        batch = users(spark, [k], day)
+        store.update(USER_INFO, merged(batch), day, batch)
+    os.makedirs(f"{store.root}/user_info/data/in_piece=left-by-a-crash/in_slot=1")
+    last, third = rows(store.read(USER_INFO)), files(store.root)
+    removed = store.remove_before(USER_INFO, 3)
+    assert any("left-by-a-crash" in f for f in removed) and len(removed) >= 3
+    fresh = StateStore(spark, store.root)
+    assert rows(fresh.read(USER_INFO)) == rows(fresh.read(USER_INFO, 3)) == last
+    assert len(files(store.root)) == 16 < len(third)
+    with pytest.raises(ValueError, match="removed"):
+        fresh.read(USER_INFO, 2)
+    assert [r[0] for r in rows(fresh.versions(USER_INFO))] == [3]
+    assert fresh.has_day(USER_INFO, "2021-11-01")
+    batch = users(spark, [500], "2021-11-04")
+    assert fresh.update(USER_INFO, merged(batch), "2021-11-04", batch) == 101
+    assert fresh.remove_before(PAYMENT, 5) == []
+
+
+def test_slots_stay_as_first_written(spark, store):
+    store.publish(users(spark, range(60)), USER_INFO)
+    other = StateStore(spark, store.root, slots=3)
+    batch = users(spark, [1, 2, 61, 62, 63], "2021-11-02")
+    assert other.update(USER_INFO, merged(batch), None, batch) == 63
+    assert other.publish(users(spark, range(5)), USER_INFO) == 5  # slots left empty are emptied
+    assert rows(other.read(USER_INFO)) == rows(users(spark, range(5)))
+    assert other.publish(users(spark, []), USER_INFO) == 0 and other.read(USER_INFO).count() == 0
+    assert other.publish(users(spark, [4]), USER_INFO) == 1
+    other.close()
+
+
+def test_a_batch_without_rows_changes_nothing(spark, store):
+    store.publish(users(spark, range(9)), USER_INFO)
+    before = files(store.root)
+    none = users(spark, [])
+    assert store.update(USER_INFO, merged(none), "2021-11-02", none) == 9
+    assert files(store.root) == before and store.has_day(USER_INFO, "2021-11-02")
+    assert rows(store.read(USER_INFO)) == rows(users(spark, range(9)))
+
+
+def test_unseen_equals_new_pairs(spark):
+    state = spark.createDataFrame([(str(k % 7), k) for k in range(30)], USER_PMC.ddl)
+    batch = spark.createDataFrame([(str(k % 5), k) for k in range(20, 50)] * 2, USER_PMC.ddl)
+    assert rows(unseen(state, batch, USER_PMC.key)) == rows(new_pairs(state, batch, USER_PMC.key)) != []
+
+
+def test_vouchers_joined_equal_vouchers_grouped(spark):
+    t = ts("2021-11-01")
+    state = spark.createDataFrame([("a", "1", 1, "A", 5, t), ("b", "1", 1, None, None, None), ("c", None, 1, "A", 1, t)], VOUCHER.ddl)
+    batch = spark.createDataFrame(
+        [("a", "2", 1, "B", 5, None), ("a", "0", 9, "B", 4, ts("2020-01-01")), ("b", "1", 1, "A", 2, t), ("d", "1", 2, "A", None, t), (None, "1", 1, "A", 1, t)], VOUCHER.ddl
+    )
+    assert rows(merge_into_vouchers(state, batch)) == rows(merge_vouchers(state, batch))
+    assert rows(merge_into_vouchers(state.limit(0), batch)) == rows(merge_vouchers(state.limit(0), batch))
+
+
+def test_unknown_campaigns_are_counted_while_joining(spark):
+    from pyspark.sql import Observation
+
+    claims = spark.createDataFrame([("1", "v", "A", c, 0) for c in (1, 1, 2, None)], "user_id string, voucher_code string, status string, campaign_id long, time_s long")
+    campaigns = spark.createDataFrame([(1, 1, ts("2021-11-01"), 5)], "campaign_id long, campaign_type int, expire_date timestamp, expire_secs long")
+    seen = Observation()
+    got = promotion.promotion_with_campaign(claims, campaigns, seen)
+    assert rows(got) == rows(promotion.promotion_with_campaign(claims, campaigns)) and seen.get == {"n": 2}
+    assert got.columns == promotion.promotion_with_campaign(claims, campaigns).columns
+
+
+def test_slots_are_sparks_buckets(spark):
+    keys = spark.range(500).select(F.col("id").cast("string").alias("a"), (F.col("id") % 9).cast("int").alias("b"))
+    dealt = keys.repartition(7, "a", "b").select(F.spark_partition_id().alias("p"), slot_of(["a", "b"], 7).alias("s"))
+    assert dealt.filter("p != s").count() == 0
