@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pursefold.llm import lines
 from pursefold.llm.decontaminate import LOWER, UPPER
-from pursefold.llm.quality_rules import LEAST, MAX_REPEAT_PERCENT, METRICS, MIN_WORDS, REACH
+from pursefold.llm.quality_rules import LEAST, MAX_REPEAT_PERCENT, METRICS, MIN_WORDS
 
 WORD = r"[^\x20\x09-\x0D]+"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _VALUE = "case when {bottom} > 0 then ({top} * {scale}) // {bottom} else 0 end"
-_VALUES = ", ".join(f"{_VALUE.format(top=t, bottom=b, scale=s)} as raw_{m}" for m, (t, b, s, _, _) in METRICS.items())
+_VALUES = ", ".join(f"{_VALUE.format(top=t, bottom=b, scale=s)} as raw_{m}" for m, (t, b, s, *_) in METRICS.items())
 _ROUNDED = ", ".join(f"raw_{m} - raw_{m} % (10 ** greatest(length(raw_{m}::varchar) - 3, 0))::bigint as {m}" for m in METRICS)
-_SPREADS = " union all ".join(f"select '{m}' as metric, {spread} as spread, {two} as two" for m, (_, _, _, spread, two) in METRICS.items())
+_TAILS = " union all ".join(f"select '{m}' as metric, {inside} as inside, {more} as more, {two} as two" for m, (_, _, _, inside, more, two) in METRICS.items())
 _LONG = " union all ".join(f"select lang, source, '{m}' as metric, {m} as v from measured where not base_failed" for m in METRICS)
 _LEVELS = " union all ".join(
     f"select {k} as level, {l} as l, {s} as s, metric, v, count(*) as n from long group by all"
@@ -47,14 +47,10 @@ summed as (
   select *, sum(n) over (partition by level, l, s, metric order by v) as upto,
          sum(n) over (partition by level, l, s, metric) as total
   from sketch),
-quarters as (
-  select level, l, s, metric, max(total) as total, min(case when upto * 4 >= total then v end) as a,
-         min(case when upto * 4 >= total * 3 then v end) as b
-  from summed group by 1, 2, 3, 4),
 fences as (
-  select level, l, s, metric, total, b + {REACH} * greatest(b - a, spread) as hi,
-         case when two then a - {REACH} * greatest(b - a, spread) else -1 end as lo
-  from quarters join ({_SPREADS}) using (metric)),
+  select level, l, s, metric, max(total) as total, min(case when upto * 1000 >= total * inside then v end) + any_value(more) as hi,
+         case when any_value(two) then min(case when upto * 1000 >= total * (1000 - inside) then v end) - any_value(more) else -1 end as lo
+  from summed join ({_TAILS}) using (metric) group by 1, 2, 3, 4),
 chosen as (
   select rid, f.* from measured m join fences f
   on (level = 0 or (total >= {LEAST} and l is not distinct from lang and (level = 1 or s is not distinct from source)))
@@ -99,8 +95,6 @@ select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n
 from docs left join kept using (doc_id)"""
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-_SIZE = "length(regexp_replace({}, '[\\x20\\x09-\\x0D]', '', 'g'))"
-
 LINE_DEDUP = f"""
 with docs as (select row_number() over () as rid, doc_id, source as host, text, string_split(text, chr(10)) as parts from documents),
 pages as (select distinct host, text from docs),
@@ -112,13 +106,10 @@ boiler as (
   where n >= {lines.MIN_PAGES} and n > total * {lines.MAX_RATIO}::double group by 1),
 cut as (
   select rid, doc_id, text, parts, list_filter(parts, lambda x: not list_contains(coalesce(bad, []), trim(x, {_BLANK}))) as kept
-  from docs left join boiler on docs.host is not distinct from boiler.host),
-judged as (
-  select *, len(kept) < len(parts) and {_SIZE.format("array_to_string(kept, chr(10))")} >= {_SIZE.format("text")} * {1 - lines.MAX_REMOVED}::double as worth
-  from cut)
-select doc_id, coalesce(len(parts), 0)::bigint as n_lines, (case when worth then len(parts) - len(kept) else 0 end)::bigint as n_removed,
-       sha256(coalesce(case when worth then array_to_string(kept, chr(10)) else text end, '')) as text_sha256
-from judged"""
+  from docs left join boiler on docs.host is not distinct from boiler.host)
+select doc_id, coalesce(len(parts), 0)::bigint as n_lines, coalesce(len(parts) - len(kept), 0)::bigint as n_removed,
+       sha256(coalesce(case when len(kept) < len(parts) then array_to_string(kept, chr(10)) else text end, '')) as text_sha256
+from cut"""
 
 ORACLES = {
     "op3_quality_rules": QUALITY_RULES,

@@ -2,8 +2,9 @@
 
 Counts of every document go into quantile sketches, histograms over integer values kept to three significant digits. They
 merge by adding, so Spark builds them with map-side partial sums, and those of one source merge into those of its language
-and of everything. A metric's fences lie `reach` spreads (third less first quartile, a least spread for metrics that hardly
-vary) outside the quartiles. A group of fewer than `least` documents takes the fences of its language, then the overall ones.
+and of everything. A metric's fence is a tail quantile of the group's own sketch and a small tolerance, so that values next to
+it pass. Of symbols the tail may hold a seventh of a group, as junk comes in such shares; of the others one document in 200.
+A group of fewer than `least` documents, whose tail would hold none, takes the fences of its language, then the overall ones.
 
 Null text has no words; documents under the base rules are rejected before and stay out of the sketches. Null languages and
 sources are groups of their own. Repeated rows count as often as they occur and get the same verdict; an empty table gives
@@ -24,15 +25,15 @@ from pursefold.llm.common import byte_texts, written
 
 STATS = "__stats"
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
-#: Metric: numerator, denominator, scale, least spread, whether too low counts as well.
+#: Metric: numerator, denominator, scale, per mille of the group inside the fence, tolerance, whether too low counts as well.
 METRICS = {
-    "symbols": ("n_symbols", "n_words", 1000, 30, False),
-    "upper": ("n_upper", "word_chars", 1000, 30, False),
-    "repeats": ("n_repeat_words", "n_words", 1000, 120, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 180, False),
-    "word_length": ("word_chars", "n_words", 100, 60, True),
+    "symbols": ("n_symbols", "n_words", 1000, 850, 10, False),
+    "upper": ("n_upper", "word_chars", 1000, 995, 5, False),
+    "repeats": ("n_repeat_words", "n_words", 1000, 995, 20, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 995, 20, False),
+    "word_length": ("word_chars", "n_words", 100, 995, 10, True),
 }
-REACH, LEAST = 3, 200
+LEAST = 200
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 
@@ -59,13 +60,13 @@ def base_failed(stats: str = STATS) -> Column:
 
 def metric(name: str, stats: str = STATS) -> Column:
     """Scaled to whole numbers, kept to three significant digits."""
-    top, bottom, scale, _, _ = METRICS[name]
+    top, bottom, scale, *_ = METRICS[name]
     value = F.expr(f"case when {stats}.{bottom} > 0 then ({stats}.{top} * {scale}) div {stats}.{bottom} else 0L end")
     unit = F.pow(F.lit(10), F.greatest(F.length(value.cast("string")) - 3, F.lit(0))).cast("long")
     return value - value % unit
 
 
-def fences(rows: DataFrame, lang: str = "lang", source: str = "source", reach: int = REACH, least: int = LEAST) -> DataFrame:
+def fences(rows: DataFrame, lang: str = "lang", source: str = "source", least: int = LEAST) -> DataFrame:
     """One row for each language and source: `lo_<metric>` and `hi_<metric>`."""
     values = F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), metric(m).alias("v")) for m in METRICS)))
     sketch = (
@@ -85,29 +86,29 @@ def fences(rows: DataFrame, lang: str = "lang", source: str = "source", reach: i
         .withColumn("upto", F.sum("n").over(over.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("all", F.sum("n").over(over))
     )
-    quarter = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, F.col("v")))
-    per = merged.groupBy(*keys, "metric").agg(quarter(1).alias("a"), quarter(3).alias("b"), F.max("all").alias("all"))
+
+    def quantile(name: str, mille: int) -> Column:
+        return F.min(F.when((F.col("metric") == name) & (F.col("upto") * 1000 >= F.col("all") * mille), F.col("v")))
+
     columns = []
-    for m, (_, _, _, spread, two) in METRICS.items():
-        step = reach * F.greatest(F.col("b") - F.col("a"), F.lit(spread))
-        at = F.col("metric") == m
-        columns += [F.max(F.when(at, F.col("b") + step)).alias(f"hi_{m}")]
-        columns += [F.max(F.when(at, F.col("a") - step)).alias(f"lo_{m}")] * two
-    cut = per.groupBy(*keys).agg(F.max("all").alias("all"), *columns).filter((F.col("all") >= least) | (F.col("level") == 0))
+    for m, (_, _, _, inside, tolerance, two) in METRICS.items():
+        columns += [(quantile(m, inside) + tolerance).alias(f"hi_{m}")]
+        columns += [(quantile(m, 1000 - inside) - tolerance).alias(f"lo_{m}")] * two
+    cut = merged.groupBy(*keys).agg(F.max("all").alias("all"), *columns).filter((F.col("all") >= least) | (F.col("level") == 0))
     cut = cut.select(F.struct(*cut.columns).alias("cut"))
     groups = rows.select(F.col(lang).alias("lang"), F.col(source).alias("source")).distinct().select("lang", "source", level)
     found = groups.join(cut, F.expr("at.level = cut.level and at.l <=> cut.l and at.s <=> cut.s"))
     best = found.groupBy("lang", "source").agg(F.max_by("cut", "at.level").alias("cut"))
-    wanted = [f"hi_{m}" for m in METRICS] + [f"lo_{m}" for m, x in METRICS.items() if x[4]]
+    wanted = [f"hi_{m}" for m in METRICS] + [f"lo_{m}" for m, x in METRICS.items() if x[-1]]
     return best.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), *(F.col(f"cut.{c}") for c in wanted))
 
 
-def judged(rows: DataFrame, lang: str = "lang", source: str = "source", reach: int = REACH, least: int = LEAST) -> DataFrame:
+def judged(rows: DataFrame, lang: str = "lang", source: str = "source", least: int = LEAST) -> DataFrame:
     """rows (with `__stats`) and booleans `__base_failed` and `__kept`."""
     # Written, so that Spark knows its size before it deals out the texts, and need not do so where it is small.
-    cut = written(fences(rows, lang, source, reach, least), "fences")
+    cut = written(fences(rows, lang, source, least), "fences")
     inside = F.lit(True)
-    for m, (_, _, _, _, two) in METRICS.items():
+    for m, (*_, two) in METRICS.items():
         inside &= metric(m) <= F.col(f"hi_{m}")
         if two:
             inside &= metric(m) >= F.col(f"lo_{m}")

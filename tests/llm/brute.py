@@ -23,8 +23,8 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(nodes, near):
-    """Smallest id reachable for each place in nodes (id, value)."""
+def roots(nodes, near):
+    """A place that stands for its class, for each place in nodes (id, value)."""
     parent = list(range(len(nodes)))
 
     def root(x):
@@ -36,12 +36,22 @@ def components(nodes, near):
         for j in range(i):
             if near(nodes[i][1], nodes[j][1]):
                 parent[root(i)] = root(j)
+    return [root(i) for i in range(len(nodes))]
+
+
+def least_of(nodes, found):
+    """Smallest id of each root; None for classes without any."""
     least = {}
-    for i, (id, _) in enumerate(nodes):
-        r = root(i)
-        if id is not None:
-            least[r] = min(least.get(r, id), id)
-    return [least.get(root(i)) for i in range(len(nodes))]
+    for (id, _), r in zip(nodes, found):
+        least[r] = id if least.get(r) is None else least[r] if id is None else min(least[r], id)
+    return least
+
+
+def components(nodes, near):
+    """Smallest id reachable for each place in nodes (id, value)."""
+    found = roots(nodes, near)
+    least = least_of(nodes, found)
+    return [least[r] for r in found]
 
 
 def simhash(rows):
@@ -93,7 +103,7 @@ def substrings(rows, window=20):
     return out
 
 
-def kept_lines(rows, max_ratio, min_pages, max_removed):
+def kept_lines(rows, max_ratio, min_pages):
     """rows of id, host, text."""
     strip = " \t\n\x0b\f\r"
     pages, total = defaultdict(set), defaultdict(set)
@@ -110,9 +120,5 @@ def kept_lines(rows, max_ratio, min_pages, max_removed):
         lines = text.split("\n")
         bad = lambda line: line.strip(strip) and len(p := pages[host, line.strip(strip)]) >= min_pages and len(p) > len(total[host]) * max_ratio
         kept = [line for line in lines if not bad(line)]
-        size = lambda t: sum(c not in strip for c in t)
-        if len(kept) < len(lines) and size("".join(kept)) >= size(text) * (1 - max_removed):
-            out.append((id, "\n".join(kept), len(lines) - len(kept)))
-        else:
-            out.append((id, text, 0))
+        out.append((id, "\n".join(kept), len(lines) - len(kept)))
     return out

@@ -22,7 +22,7 @@ def test_stages_against_plain_versions(spark, tmp_path):
             verdicts = {r.doc_id for r in quality_rules.verdicts(spark.read.parquet(f"{SF}/documents.parquet")).filter("kept").collect()}
             assert {r.doc_id for r in after} == verdicts and all(before[r.doc_id] == r for r in after)
         if name == "line_dedup":
-            wanted = brute.kept_lines([(i, r.source, r.text) for i, r in before.items()], lines.MAX_RATIO, lines.MIN_PAGES, lines.MAX_REMOVED)
+            wanted = brute.kept_lines([(i, r.source, r.text) for i, r in before.items()], lines.MAX_RATIO, lines.MIN_PAGES)
             assert {(r.doc_id, r.text) for r in after} == {(i, t) for i, t, _ in wanted}
             assert all(r.n_chars == len(r.text) for r in after)
         if name == "near_duplicates":
