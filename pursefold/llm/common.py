@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,3 +58,9 @@ def first_by_hash(rows: DataFrame, id: str, many: int) -> DataFrame:
     place = F.pmod(F.xxhash64(id), F.lit(1 << 40))
     cut = rows.filter(place < int((1 << 40) * min(1.0, many * 1.1 / max(total, 1))))
     return cut.orderBy(place, id).limit(many)
+
+
+def shielded(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The operator's result where columns of docs may have the names that it uses itself, which start with two underscores."""
+    names = {c: f"own{k}{c.lstrip('_')}" for k, c in enumerate(docs.columns) if c.startswith("__")}
+    return operator(docs.withColumnsRenamed(names)).withColumnsRenamed({new: old for old, new in names.items()})

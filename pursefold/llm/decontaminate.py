@@ -6,11 +6,12 @@ shingles are, so a prefix of one shingle, the rarest, is enough to find every ca
 window would start: the position must not lie before the text, and the window must end within it. The words there are then
 compared one by one with the window's.
 
-The windows are sent to all tasks only if the benchmark has at most `SENT_WORDS` words, which bounds what is sent; a larger one is
+Windows are distinct and numbered; which items have them is joined by number after the hits of a document are distinct, so a window
+that many items share is looked for once. The windows are sent to all tasks only if their words take at most `SENT_BYTES`; more are
 joined by shuffle, documents carrying only shingle hashes, and the candidates are checked against the texts afterwards.
 
 Null and empty texts have no words: such items have no windows, such documents no hits. Equal windows of several items count for
-each. Repeated rows (same id and text) get the same result. An empty benchmark hits nothing; an empty table gives no rows.
+each. An item without an id hits like any other, but is neither counted nor listed, as there is no id to list. Repeated rows (same id and text) get the same result. An empty benchmark hits nothing; an empty table gives no rows.
 Only id and text columns are read.
 """
 
@@ -19,10 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pursefold.llm.common import text_hash, written
+from pursefold.llm.common import shielded, text_hash, written
 
 WINDOW, SHINGLE = 13, 3
-SENT_WORDS = 1_000_000
+SENT_BYTES = 64 << 20
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,12 +33,14 @@ def word_list(text: str) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER), GAP), "")
 
 
-def windows(items: DataFrame, id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(window, length, items): distinct windows as word lists, and the ids of the items that have them."""
+def windows(items: DataFrame, id: str = "item_id", text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(number, window, length): distinct windows as word lists; and (number, item): the items that have them."""
     lists = items.select(F.col(id).cast("string").alias("item"), word_list(text).alias("words")).filter(F.size("words") > 0)
     starts = F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)))).alias("at")
     cut = lists.select("item", "words", starts).select("item", F.slice("words", F.col("at") + 1, window).alias("window"))
-    return cut.groupBy("window").agg(F.collect_set("item").alias("items")).withColumn("length", F.size("window"))
+    distinct = written(cut.select("window").distinct().select(F.monotonically_increasing_id().alias("number"), "window", F.size("window").alias("length")), "windows")
+    owners = cut.filter("item is not null").join(distinct, "window").select("number", "item").distinct()
+    return distinct, written(owners, "window-items")
 
 
 def places(docs: DataFrame, size: int, keep: list[str]) -> DataFrame:
@@ -50,23 +53,24 @@ def places(docs: DataFrame, size: int, keep: list[str]) -> DataFrame:
 
 
 def prefixes(parts: DataFrame, docs: DataFrame, size: int, sent: bool) -> DataFrame:
-    """(h, back, window, length, items): each window's rarest shingle and its distance from the window's start."""
-    rows = parts.select("window", "length", "items", F.posexplode("window").alias("back", "word")).filter(F.col("back") <= F.col("length") - size)
+    """(w, back, number, window, length): each window's rarest shingle and its distance from the window's start."""
+    rows = parts.select("number", "window", "length", F.posexplode("window").alias("back", "word")).filter(F.col("back") <= F.col("length") - size)
     rows = rows.select("*", F.xxhash64(*(F.get("window", F.col("back") + k) for k in range(size))).alias("h"))
     wanted = rows.select(F.col("h").alias("w")).distinct()
-    found = places(docs, size, []).join(F.broadcast(wanted) if sent else wanted, F.expr("h = w"), "left_semi").groupBy("h").agg(F.count("*").alias("n"))
+    # By a struct, by which the distinct shingles are not dealt out yet, so that a common one's places can be split.
+    seen = places(docs, size, []).join(F.broadcast(wanted) if sent else wanted, F.struct("h") == F.struct("w"), "left_semi")
+    found = seen.groupBy("h").agg(F.count("*").alias("n"))
     counted = rows.join(found.withColumnRenamed("h", "f"), F.expr("h = f"), "left")
     best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "back", "h"))
-    return counted.groupBy("window", "length").agg(best.alias("best"), F.first("items").alias("items")).filter("best.n > 0").select(
-        F.col("best.h").alias("w"), F.col("best.back").alias("back"), "window", "length", "items"
+    return counted.groupBy("number", "window", "length").agg(best.alias("best")).filter("best.n > 0").select(
+        F.col("best.h").alias("w"), F.col("best.back").alias("back"), "number", "window", "length"
     )
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, hash, at, length, items): every occurrence of a window in a document."""
-    parts = written(windows(items, window=window), "windows")
-    size_of = parts.agg(F.sum("length").alias("words"), F.min("length").alias("least")).first()
-    sent = (size_of.words or 0) <= SENT_WORDS
+def hits(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(doc_id, hash, at, length, number): every occurrence of a window in a document."""
+    size_of = parts.agg(F.sum(F.octet_length(F.array_join("window", " "))).alias("bytes"), F.min("length").alias("least")).first()
+    sent = (size_of.bytes or 0) <= SENT_BYTES
     found = None
     # Windows of fewer words than a shingle are sets of shingles of their own length.
     for size in range(min(size_of.least or SHINGLE, SHINGLE), SHINGLE + 1):
@@ -77,11 +81,11 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
             rows = places(docs, size, ["doc_id", "text", "words"]).join(F.broadcast(first), F.expr("h = w"))
         else:
             near = places(docs, size, ["doc_id", text_hash().alias("x")]).join(first, F.expr("h = w")).withColumnRenamed("doc_id", "d")
-            near = near.select("d", "x", "at", "back", "window", "length", "items")
+            near = near.select("d", "x", "at", "back", "window", "length", "number")
             rows = docs.select("doc_id", "text", text_hash().alias("y"), word_list("text").alias("words")).join(near, F.expr("doc_id <=> d and x = y"))
         inside = (start >= 0) & (start + F.col("length") <= F.size("words"))
         rows = rows.filter(inside).filter(F.slice("words", F.when(inside, start + 1).otherwise(F.lit(1)), F.col("length")) == F.col("window"))
-        rows = rows.select("doc_id", text_hash().alias("hash"), start.alias("at"), "length", "items")
+        rows = rows.select("doc_id", text_hash().alias("hash"), start.alias("at"), "length", "number")
         found = rows if found is None else found.union(rows)
     return found
 
@@ -89,8 +93,12 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
 def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, item_ids (sorted strings), contaminated and `__hash` of the text, one row for each row of docs."""
     read = docs.select("doc_id", "text")
-    spans = F.array_sort(F.collect_set(F.struct("at", "length")))
-    per = hits(read, items, window).groupBy("doc_id", "hash").agg(spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"))
+    parts, owners = windows(items, window=window)
+    found = written(hits(read, parts), "hits")
+    spans = found.groupBy("doc_id", "hash").agg(F.array_sort(F.collect_set(F.struct("at", "length"))).alias("spans"))
+    listed = found.select("doc_id", "hash", "number").distinct().join(owners, "number").groupBy("doc_id", "hash").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+    listed = listed.select(F.col("doc_id").alias("i"), F.col("hash").alias("x"), "item_ids")
+    per = spans.join(listed, F.expr("doc_id <=> i and hash = x"), "left")
     # Words under the union of spans: each adds what lies beyond the furthest end so far.
     cover = F.aggregate(
         "spans", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
@@ -108,6 +116,10 @@ def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
+    return shielded(docs, lambda d: _clean(d, items))
+
+
+def _clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     bad = judged(docs, items).filter("contaminated").select(F.col("doc_id").alias("__bad"), "__hash").distinct()
     keyed = docs.withColumn("__own", text_hash())
     return keyed.join(bad, F.expr("doc_id <=> __bad and __own = __hash"), "left_anti").select(*docs.columns)

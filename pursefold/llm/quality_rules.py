@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pursefold.llm import textstats
-from pursefold.llm.common import byte_texts, written
+from pursefold.llm.common import byte_texts, shielded, written
 
 STATS = "__stats"
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
@@ -125,5 +125,4 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
-    rows = written(with_stats(docs), "rules")
-    return judged(rows).filter("__kept").select(*docs.columns)
+    return shielded(docs, lambda d: judged(written(with_stats(d), "rules")).filter("__kept").select(*d.columns))

@@ -1,7 +1,9 @@
 """SimHash near-duplicates: fingerprints linked at a few differing bits, found in BK-trees over shards.
 
-Fingerprints at most r bits apart agree on one of r + 1 bit ranges whole, so each distinct fingerprint goes to one shard for
-each range and every link lies inside a shard. A shard's fingerprints form a BK-tree: children hang at their Hamming distance
+Fingerprints at most r bits apart agree on one of r + 1 bit ranges whole, on two of r + 2 and so on; each distinct fingerprint
+goes to one shard for each choice of ranges, and every link lies inside a shard. As many ranges are taken as keep the usual shard
+no larger than a tree (four up to 67 million fingerprints, five up to 34 billion), so the copies of a fingerprint do not grow with
+their number. A shard's fingerprints form a BK-tree: children hang at their Hamming distance
 to the parent, and a search for radius r follows only edges between distance - r and distance + r. A shard larger than
 `tree_size` is cut by hash into trees of about that size; each of its fingerprints is sent to each of its trees (one tree: once),
 so a task holds a bounded tree and loses no link. A block of one tree hands out at most one link for each fingerprint, a
@@ -14,6 +16,7 @@ one. An empty table gives no rows. Only the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pursefold.llm.common import byte_texts, text_hash, written
+from pursefold.llm.common import byte_texts, shielded, text_hash, written
 from pursefold.llm.components import components
 
 SHINGLE, RADIUS, TREE_SIZE = 3, 3, 1024
@@ -117,8 +120,8 @@ def _link(radius: int):
         mask, at, block = (1 << 64) - 1, None, Block()
         for batch in batches:
             links: list[tuple[int, int]] = []
-            shards, ones, others, sides, fps = (c.to_pylist() for c in batch.columns)
-            for key, side, fp in zip(zip(shards, ones, others), sides, fps):
+            *keys, sides, fps = (c.to_pylist() for c in batch.columns)
+            for key, side, fp in zip(zip(*keys), sides, fps):
                 if key != at:
                     at, block = key, Block()
                 value = fp & mask
@@ -131,23 +134,37 @@ def _link(radius: int):
     return run
 
 
-def links(values: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
+def shards(radius: int, ranges: int) -> list[int]:
+    """Masks of the bits that a shard's fingerprints share: every choice of ranges that may be equal."""
+    ends = [64 * k // ranges for k in range(ranges + 1)]
+    masks = [(1 << b) - (1 << a) for a, b in zip(ends, ends[1:])]
+    return [sum(chosen) for chosen in combinations(masks, ranges - radius)]
+
+
+def ranges_for(many: int, radius: int, tree_size: int) -> int:
+    """The least number of ranges with which shards of so many fingerprints are no larger than a tree, as far as choices stay few."""
+    ranges = radius + 1
+    while ranges < radius + 3 and many > tree_size << 64 * (ranges - radius) // ranges:
+        ranges += 1
+    return ranges
+
+
+def links(values: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE, ranges: int | None = None) -> DataFrame:
     """(a, b): links between distinct numbers `fp` whose components are those of all pairs within the radius."""
-    parts = radius + 1
-    width = -(-64 // parts)
-    # Which range, and its bits, in one number; a lone range is the number itself.
-    cut = [F.shiftrightunsigned("fp", k * width).bitwiseAND((1 << width) - 1) + (k << width) if radius else F.col("fp") for k in range(parts) if k * width < 64]
-    placed = values.select("fp", F.explode(F.array(*cut)).alias("shard"))
-    large = placed.groupBy("shard").agg(F.count("*").alias("n")).filter(F.col("n") > tree_size)
-    large = large.select(F.col("shard").alias("s"), F.ceil(F.col("n") / tree_size).cast("int").alias("trees"))
-    placed = placed.join(large, F.expr("shard = s"), "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
+    ranges = ranges or ranges_for(values.count(), radius, tree_size)
+    signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+    cut = [F.struct(F.lit(k).alias("part"), F.col("fp").bitwiseAND(F.lit(signed(mask))).alias("bits")) for k, mask in enumerate(shards(radius, ranges))]
+    placed = values.select("fp", F.inline(F.array(*cut)))
+    large = placed.groupBy("part", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > tree_size)
+    large = large.select(F.col("part").alias("p"), F.col("bits").alias("s"), F.ceil(F.col("n") / tree_size).cast("int").alias("trees"))
+    placed = placed.join(large, F.struct("part", "bits") == F.struct("p", "s"), "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("other")
-    blocks = placed.select("shard", "own", other, "fp").select(
-        "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "fp"
+    blocks = placed.select("part", "bits", "own", other, "fp").select(
+        "part", "bits", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "fp"
     )
-    order = ("shard", "i", "j", "side", "fp")
-    return blocks.repartition("shard", "i", "j").sortWithinPartitions(*order).mapInArrow(_link(radius), "a long, b long")
+    order = ("part", "bits", "i", "j", "side", "fp")
+    return blocks.repartition("part", "bits", "i", "j").sortWithinPartitions(*order).mapInArrow(_link(radius), "a long, b long")
 
 
 def _first(prints: DataFrame, least: Column, radius: int) -> tuple[DataFrame, DataFrame]:
@@ -162,7 +179,8 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: in
     """doc_id, fingerprint (16 hex digits) and component_id, one row for each row of docs."""
     prints = written(fingerprints(docs, id, text, shingle), "simhash")
     rooted, first = _first(prints, F.col("doc_id"), radius)
-    named = rooted.join(first, F.expr("root = r")).select(F.col("fp").alias("f"), F.col("first").alias("component_id"))
+    # By a struct, as in `components`: the rows of a large class are split.
+    named = rooted.join(first, F.struct("root") == F.struct("r")).select(F.col("fp").alias("f"), F.col("first").alias("component_id"))
     return prints.join(named, F.expr("fp = f"), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -171,6 +189,10 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
     A class is its component, whatever its rows are named: classes that share a doc_id, or have null ids only, keep a row each.
     """
+    return shielded(docs, lambda d: _representatives(d, shingle, radius))
+
+
+def _representatives(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
     prints = written(fingerprints(docs, shingle=shingle, hashed=True), "simhash")
     texts = prints.groupBy("fp", "doc_id", "hash").agg((F.count("*") > 1).alias("many"))
     _, first = _first(texts, F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "hash", "many"), radius)

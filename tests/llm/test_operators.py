@@ -227,12 +227,12 @@ def test_decontamination(spark, odd):
     few = spark.createDataFrame([(1, "One, two"), (2, None), (3, "word5 AND5 word6 and6 word7 and7 word8 and8 word9 and9 word10 and10 word11 and11"), (4, "three"), (5, "a b c d e a b c d e a b c"), (6, "one two three"), (7, "one two three")], "item_id long, text string")
     wanted = ordered(brute.decontamination(texts(odd), [(r.item_id, r.text) for r in few.collect()]))
     for limit in (10**6, 0):  # windows sent to all tasks, and joined by shuffle
-        found = decontaminate.SENT_WORDS
-        decontaminate.SENT_WORDS = limit
+        found = decontaminate.SENT_BYTES
+        decontaminate.SENT_BYTES = limit
         try:
             got = decontaminate.judged(odd, few).collect()
         finally:
-            decontaminate.SENT_WORDS = found
+            decontaminate.SENT_BYTES = found
         assert ordered((r.doc_id, r.n_words, r.n_hit, len(r.item_ids), hashlib.sha256(",".join(r.item_ids).encode()).hexdigest(), r.contaminated) for r in got) == wanted
     none = decontaminate.judged(odd, few.filter("false"))
     assert none.count() == odd.count() and none.filter("contaminated").count() == 0
@@ -241,6 +241,86 @@ def test_decontamination(spark, odd):
     assert clean.columns == odd.columns and clean.count() == sum(not r[-1] for r in wanted)
 
 
+def test_a_window_that_many_items_share(spark):
+    shared = " ".join(f"s{k}" for k in range(13))
+    items = spark.range(100_000).selectExpr("id item_id", f"'{shared}' text")
+    docs = spark.createDataFrame([(1, f"a {shared} b"), (2, "nothing of it"), (3, shared)], "doc_id long, text string")
+    parts, owners = decontaminate.windows(items)
+    assert parts.count() == 1 and owners.count() == 100_000
+    got = {r.doc_id: r for r in decontaminate.judged(docs, items).collect()}
+    wanted = sorted(map(str, range(100_000)))
+    assert got[1].item_ids == got[3].item_ids == wanted and got[2].item_ids == []
+    assert (got[1].n_hit, got[3].n_hit, got[1].contaminated) == (13, 13, True)
+
+
+def test_items_without_an_id_hit_but_are_not_listed(spark):
+    items = spark.createDataFrame([(None, "one two three"), (4, "three four")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "one two three"), (2, "one two three four")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_hit, r.item_ids, r.contaminated) for r in decontaminate.judged(docs, items).collect())
+    assert got == [(1, 3, [], True), (2, 4, ["4"], True)]
+
+
+def test_columns_of_the_operators_own_names_are_kept(spark):
+    names = ("__hash", "__id", "__least", "__many", "__own", "__bad", "__stats", "__kept", "__base_failed", "__lang", "__source", "own3hash")
+    docs = table(spark).limit(30).withColumns({n: F.concat(F.lit(n), "doc_id") for n in names})
+    items = table(spark, "benchmark")
+    for kept in (simhash.representatives(docs), decontaminate.clean(docs, items), quality_rules.accepted(docs)):
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
+@pytest.mark.parametrize("radius, ranges", [(3, 4), (3, 5), (3, 6), (1, 3), (0, 2)])
+def test_more_ranges_find_the_same_links(spark, radius, ranges):
+    random = np.random.default_rng(9)
+    values = sorted({int(b) ^ sum(1 << int(k) for k in random.choice(64, random.integers(0, radius + 2), replace=False)) for b in random.integers(0, 2**63, 10) for _ in range(12)})
+    signed = [v - 2**64 if v >= 2**63 else v for v in values]
+    found = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), radius, 4, ranges)
+    roots = {r.node: r.root for r in components.components(found).collect()}
+    wanted = brute.components(list(zip(signed, values)), lambda a, b: (a ^ b).bit_count() <= radius)
+    assert [roots.get(v, v) for v in signed] == wanted
+
+
+def test_copies_of_a_fingerprint_do_not_grow_with_their_number():
+    copies = {n: len(simhash.shards(3, simhash.ranges_for(n, 3, 1024))) for n in (10**4, 10**5, 10**6, 10**7, 10**8, 10**9, 10**10)}
+    assert copies == dict.fromkeys((10**4, 10**5, 10**6, 10**7), 4) | dict.fromkeys((10**8, 10**9, 10**10), 10)
+
+
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def split(spark):
+    """No broadcasts, and partitions count as skewed early."""
+    before = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hub_with_a_third_of_the_links_is_split(spark, split, monkeypatch):
+    plans = []
+    write = components.written
+
+    def watched(df, name):
+        df.agg(F.count("*")).collect()
+        again = df.agg(F.count("*"))
+        again.collect()
+        plans.append(again._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(components, "written", watched)
+    links = spark.range(0, 60_000, 1, 16).selectExpr("if(id % 3 = 0, -1, id * 7) a", "id * 7 + 1 b")
+    found = components.components(links)
+    assert found.filter("root = -1").count() == 20_001
+    assert any("skew=true" in p for p in plans)
+
+
 def test_substrings(spark, odd):
     assert plain(queries.op8_substring(spark, SF), *SUBSTRING) == ordered(brute.substrings(texts(table(spark))))
     distinct = odd.filter("doc_id is not null and not (doc_id = 10 and text like 'other%')").dropDuplicates(["doc_id"])
@@ -301,21 +381,12 @@ def test_small_hosts_and_pages_of_nothing_else_lose_boilerplate(spark):
     assert got == {k: f"body {k}" for k in range(4)} | {9: "", 10: "menu\nfooter"}
 
 
-def test_a_line_on_every_page_is_split(spark):
+def test_a_line_on_every_page_is_split(spark, split):
     """With broadcasts off, the hot line's rows are dealt to several tasks."""
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     docs = spark.range(0, 20_000, 1, 16).selectExpr("id doc_id", "'h' source", "concat('footer\nown ', id) text")
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        got = lines.cleaned(docs, "source")
-        rows = got.agg(F.sum("__n_removed").alias("n"))
-        assert rows.collect()[0].n == 20_000
-        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = lines.cleaned(docs, "source").agg(F.sum("__n_removed").alias("n"))
+    assert rows.collect()[0].n == 20_000
+    assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
 
 
 def test_quality_scores_hold_on_unseen_rows(spark):
@@ -329,6 +400,13 @@ def test_quality_scores_hold_on_unseen_rows(spark):
     assert (unseen.predicted == unseen.quality).mean() > 0.95
 
 
+def test_training_rows_do_not_depend_on_row_order(spark):
+    docs = table(spark).unionByName(table(spark).limit(50).withColumn("text", F.reverse("text")))
+    labels = table(spark, "labels")
+    one, other = (quality_rank.scored(d, labels) for d in (docs.repartition(3), docs.orderBy(F.desc("doc_id"), "text").repartition(5, "text")))
+    assert plain(one, "doc_id", "score") == plain(other, "doc_id", "score")
+
+
 def test_quality_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(k, k % 2) for k in range(10)] + [(None, 1), (3, None)], "doc_id long, quality int")
     assert quality_rank.scored(odd, labels).count() == odd.count()
