@@ -57,8 +57,9 @@ def prefixes(parts: DataFrame, docs: DataFrame, size: int, sent: bool) -> DataFr
     rows = parts.select("number", "window", "length", F.posexplode("window").alias("back", "word")).filter(F.col("back") <= F.col("length") - size)
     rows = rows.select("*", F.xxhash64(*(F.get("window", F.col("back") + k) for k in range(size))).alias("h"))
     wanted = rows.select(F.col("h").alias("w")).distinct()
-    # By a struct, by which the distinct shingles are not dealt out yet, so that a common one's places can be split.
-    seen = places(docs, size, []).join(F.broadcast(wanted) if sent else wanted, F.struct("h") == F.struct("w"), "left_semi")
+    # If joined by shuffle, then by a struct, by which the distinct shingles are not dealt out yet, so that a common one's places can be split.
+    same = F.expr("h = w") if sent else F.struct("h") == F.struct("w")
+    seen = places(docs, size, []).join(F.broadcast(wanted) if sent else wanted, same, "left_semi")
     found = seen.groupBy("h").agg(F.count("*").alias("n"))
     counted = rows.join(found.withColumnRenamed("h", "f"), F.expr("h = f"), "left")
     best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "back", "h"))
