@@ -6,15 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _whole(text: Column) -> Column:
-    """Without white space around and without a fraction of zeros."""
-    return F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.0*$", "$1")
-
-
 def _number(text: Column, kind: str) -> Column:
-    """Cast where the text has the form of a number: to try and fail costs 17 microseconds a cell."""
-    whole = _whole(text)
-    return F.when(whole.rlike(r"^[\x00-\x20]*[+-]?\d+[\x00-\x20]*$"), whole.try_cast(kind))
+    """A whole number, perhaps with white space around and a fraction of zeros.
+
+    Only text of that form is cast: to try and fail costs 17 microseconds a cell.
+    """
+    digits = F.regexp_extract(text, r"^[\x00-\x20]*([+-]?\d+)(?:\.0*)?[\x00-\x20]*$", 1)
+    return F.nullif(digits, F.lit("")).try_cast(kind)
 
 
 def to_int(text: Column) -> Column:
