@@ -5,10 +5,15 @@ tell the last category apart (chi-square over the training rows, at most `FEATUR
 For training these come from models that have not seen the row (folds by a hash of the id), so a later model learns how far to
 trust what it will be given.
 
+Where the labels hold one flag only, the categories before it are `KINDS` kinds found in the training rows, in each language by
+itself: its markers are the features that go with the flag there (`markers`), dealt to the kinds so that forms of one word stay
+together and kinds hold about equally many rows (`dealt`). A row is of a kind if it is flagged and has one of its markers.
+
 The chain is fitted on at most `TRAIN_ROWS` labelled rows, the first by a hash of their id; features are counted by Spark, the
 models are fitted on the driver from a few numbers for each row. Null and empty texts have no features and get what the model
-says of none. Null labels and labels without a document do not count; without any, or with one kind of a category only, its
-probability is its share. Repeated rows get the same result; an empty table gives no rows. Only the named columns are read.
+says of none. Null labels and labels without a document do not count; without any, or with one value of a category only, its
+probability is its share. Rows without a language are a language of their own, as are all rows of docs without that column; scores
+do not see the language. Repeated rows get the same result; an empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pursefold.llm.common import first_by_hash, written
@@ -27,13 +32,9 @@ from pursefold.llm.common import first_by_hash, written
 TRAIN_ROWS, FEATURES, FOLDS, STEPS = 12_000, 4096, 5, 200
 LEAST_DOCS = 4
 CUT = 0.5
-#: Kinds of abuse, by words that name them (fixed values); a labelled row is of a kind if it is toxic and has one of its words.
-KINDS = {
-    "insult": ("idiot", "moron", "stupid", "clown"),
-    "contempt": ("loser", "pathetic", "worthless"),
-    "degradation": ("scum", "trash", "disgusting"),
-}
-CATEGORIES = (*KINDS, "toxic")
+KINDS = 3
+#: A marker's least chi-square (one chance in a thousand), and how many a language has at most.
+LEAST_CHI, MARKERS = 10.83, 64
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -43,13 +44,45 @@ def words(text: str) -> set[str]:
     return found | {f"{w[:k]}-" for w in found for k in (4, 5, 6) if len(w) > k}
 
 
-def _has_kind(kind: str) -> Column:
-    return F.lower("text").rlike(r"(?<![a-z])(" + "|".join(KINDS[kind]) + r")(?![a-z])")
-
-
-def kinds(rows: DataFrame) -> DataFrame:
-    """Category columns from the one flag that the labels have."""
-    return rows.withColumns({k: (F.col("toxic") == 1).cast("int") * _has_kind(k).cast("int") for k in KINDS})
+def markers(has: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    """The columns of has (rows by features) that go with the flag, strongest first; ties by number."""
+    n, k, total, flagged = has.sum(axis=0), has[flag].sum(axis=0), len(flag), int(flag.sum())
+    over = k * total - n * flagged
+    chi = over.astype(float) ** 2 * total / np.maximum(1.0, n * (total - n) * float(flagged) * (total - flagged))
+    good = np.flatnonzero((over > 0) & (chi >= LEAST_CHI) & (n >= LEAST_DOCS))
+    return good[np.lexsort((good, -chi[good]))][:MARKERS]
+
+
+def dealt(has: np.ndarray, kinds: int = KINDS) -> np.ndarray:
+    """A kind for each column: that of the most similar earlier one if they share half of their rows, else the one with the fewest rows."""
+    both = has.T.astype(int) @ has.astype(int)
+    rows = np.zeros((len(has), kinds), bool)
+    found = np.zeros(has.shape[1], int)
+    for m in range(has.shape[1]):
+        alike = both[m, :m] / np.maximum(1, both[m, m] + both.diagonal()[:m] - both[m, :m])
+        found[m] = found[alike.argmax()] if m and alike.max() >= 0.5 else rows.sum(axis=0).argmin()
+        rows[:, found[m]] |= has[:, m]
+    return found
+
+
+def kinds_of(counts: np.ndarray, index: np.ndarray, flag: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """0/1, a row for each row and a column for each kind."""
+    of_kind = np.zeros((len(counts), KINDS), int)
+    ends = np.cumsum(counts)
+    order = np.argsort(langs, kind="stable")
+    _, first = np.unique(langs[order], return_index=True)
+    for own in np.split(order, first[1:]):
+        flagged = flag[own] == 1
+        if flagged.sum() < LEAST_DOCS:
+            continue
+        features, column = np.unique(np.concatenate([index[ends[r] - counts[r] : ends[r]] for r in own]), return_inverse=True)
+        has = np.zeros((len(own), len(features)), bool)
+        has[np.repeat(np.arange(len(own)), counts[own]), column] = True
+        chosen = has[:, markers(has, flagged)]
+        kind = dealt(chosen[flagged])
+        for k in range(KINDS):
+            of_kind[own, k] = flagged & chosen[:, kind == k].any(axis=1)
+    return of_kind
 
 
 @dataclass
@@ -99,7 +132,7 @@ def fit_chain(counts: np.ndarray, index: np.ndarray, labels: np.ndarray, fold: n
     return chain
 
 
-def _indexed(known: dict[str, int], text: str, keep: list[str], kinds: list[str]):
+def _indexed(known: dict[str, int], text: str, keep: list[str]):
     """The features of each text that are known, as numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,40 +143,56 @@ def _indexed(known: dict[str, int], text: str, keep: list[str], kinds: list[str]
     return run
 
 
-def train(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CATEGORIES, train_rows: int = TRAIN_ROWS) -> tuple[dict[str, int], list[Linear]]:
-    """The known features and the chain. labelled: doc_id and what `kinds` needs; with the text it gives the categories."""
+def train(
+    docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] | None = None, train_rows: int = TRAIN_ROWS, lang: str = "lang"
+) -> tuple[dict[str, int], list[Linear]]:
+    """The known features and the chain. labelled: doc_id and the categories; without categories, doc_id and `toxic`."""
     first = first_by_hash(labelled, "doc_id", train_rows)
-    sample = docs.select("doc_id", "text").filter("doc_id is not null").join(F.broadcast(first), "doc_id")  # at most train_rows ids
-    sample = written(kinds(sample).select("doc_id", "text", *categories), "toxicity")
+    labels = list(categories or ["toxic"])
+    of_lang = (F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast("string")).alias("__lang")
+    own = docs.select("doc_id", "text", of_lang).filter("doc_id is not null")
+    sample = own.join(F.broadcast(first), "doc_id")  # at most train_rows ids
+    sample = written(sample.select("doc_id", "text", "__lang", *(F.col(c).cast("int").alias(c) for c in labels)), "toxicity")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([list(words(t or "")) for t in batch.column(0).to_pylist()], pa.list_(pa.string())), batch.column(1)], ["words", "y"])
 
-    last = categories[-1]
+    last = labels[-1]
     total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum(last), F.lit(0)).alias("y")).first()
-    seen = sample.select("text", F.col(last).cast("int")).mapInArrow(spread, "words array<string>, y int").select(F.explode("words").alias("w"), "y")
+    seen = sample.select("text", last).mapInArrow(spread, "words array<string>, y int").select(F.explode("words").alias("w"), "y")
     both = seen.groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("k")).filter(F.col("n") >= LEAST_DOCS)
     # Chi-square of having the word and being toxic, up to a factor.
     worth = F.pow(F.col("k") * total.n - F.col("n") * total.y, 2) / (F.col("n") * (F.lit(total.n + 1) - F.col("n")))
     best = both.orderBy(worth.desc(), "w").limit(FEATURES).select("w").collect()
     known = {r.w: k for k, r in enumerate(best)}
-    labels = list(categories)
-    schema = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, {', '.join(f'{c} int' for c in labels)}, index array<int>"
-    kept = sample.select("doc_id", *(F.col(c).cast("int").alias(c) for c in labels), "text").mapInArrow(_indexed(known, "text", ["doc_id", *labels], labels), schema)
-    rows = kept.withColumn("fold", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(FOLDS))).orderBy("doc_id").toPandas()
+    keep = ["doc_id", "__lang", *labels]
+    schema = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, __lang string, {', '.join(f'{c} int' for c in labels)}, index array<int>"
+    kept = sample.select(*keep, "text").mapInArrow(_indexed(known, "text", keep), schema)
+    rows = kept.withColumn("fold", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(FOLDS))).orderBy("doc_id", F.hash("index")).toPandas()
     counts = rows["index"].map(len).to_numpy(np.int64)
     index = np.concatenate([*rows["index"], np.zeros(0)]).astype(np.int64)
-    return known, fit_chain(counts, index, rows[labels].to_numpy().reshape(-1, len(labels)), rows["fold"].to_numpy(), max(1, len(known)))
-
-
-def scored(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, p_<category> for each, and toxic (0 or 1), one row for each row of docs; labels has doc_id and toxic."""
-    labelled = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known, chain = train(docs, labelled, categories, train_rows)
+    wanted, size = rows[labels].to_numpy(int).reshape(-1, len(labels)), max(1, len(known))
+    if categories is None:
+        # "=" keeps a language named "" apart from none.
+        langs = np.array(["" if x is None else f"={x}" for x in rows["__lang"]], str)
+        wanted = np.column_stack([kinds_of(counts, index, wanted[:, 0], langs), wanted])
+    return known, fit_chain(counts, index, wanted, rows["fold"].to_numpy(), size)
+
+
+def scored(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] | None = None, train_rows: int = TRAIN_ROWS, lang: str = "lang") -> DataFrame:
+    """doc_id, p_<category> for each, and toxic (0 or 1), one row for each row of docs; labels has doc_id and the categories, or `toxic`.
+
+    Without categories they are kind1 to kind3 and toxic. Labels that repeat an id count as their greatest.
+    """
+    own = categories or ("toxic",)
+    usable = " and ".join(f"`{c}` is not null" for c in ("doc_id", *own))
+    labelled = labels.filter(usable).groupBy("doc_id").agg(*(F.max(c).alias(c) for c in own))
+    known, chain = train(docs, labelled, categories, train_rows, lang)
+    categories = categories or (*(f"kind{k + 1}" for k in range(KINDS)), "toxic")
     names = ["doc_id", *(f"p_{c}" for c in categories), "toxic"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    look_up = _indexed(known, "text", ["doc_id"], [])
+    look_up = _indexed(known, "text", ["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in look_up(batches):

@@ -1,9 +1,12 @@
 """Plain versions of the operators, over lists of rows."""
 
+import datetime
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -122,3 +125,161 @@ def kept_lines(rows, max_ratio, min_pages):
         kept = [line for line in lines if not bad(line)]
         out.append((id, "\n".join(kept), len(lines) - len(kept)))
     return out
+
+
+def squash(raw):
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, raw))))
+
+
+def descent(slope_of, size, steps, rate):
+    """Adam, from zero."""
+    w, speed, spread = np.zeros(size), np.zeros(size), np.zeros(size)
+    for step in range(1, steps + 1):
+        slope = slope_of(w)
+        speed, spread = 0.9 * speed + 0.1 * slope, 0.99 * spread + 0.01 * slope**2
+        w = w - rate * (speed / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-8)
+    return w
+
+
+def chain(rows, flags, folds, given):
+    """rows of doc_id (once each), lang, text; flags by doc_id. The chances of each category by doc_id, by dense matrices."""
+    found = {}
+    for id, _, text in rows:
+        words = set(re.findall(r"[^\W\d_]+", (text or "").lower()))
+        found[id] = words | {w[:k] + "-" for w in words for k in (4, 5, 6) if len(w) > k}
+    train = [(id, lang) for id, lang, _ in rows if id in flags]
+    many, toxic = Counter(), Counter()
+    for id, _ in train:
+        many.update(found[id])
+        toxic.update(w for w in found[id] if flags[id])
+    n, y = len(train), sum(flags[id] for id, _ in train)
+    worth = {w: (toxic[w] * n - many[w] * y) ** 2 / (many[w] * (n + 1 - many[w])) for w in many if many[w] >= given.LEAST_DOCS}
+    known = sorted(worth, key=lambda w: (-worth[w], w.encode()))[: given.FEATURES]
+    kind_of = {}
+    for lang in {lang for _, lang in train}:
+        own = [id for id, of in train if of == lang]
+        bad = [id for id in own if flags[id]]
+        chi = {}
+        for w in known:
+            a, b = sum(w in found[id] for id in own), sum(w in found[id] for id in bad)
+            if a >= given.LEAST_DOCS and b * len(own) > a * len(bad):
+                chi[w] = (b * len(own) - a * len(bad)) ** 2 * len(own) / max(1.0, a * (len(own) - a) * len(bad) * (len(own) - len(bad)))
+        marks = sorted((w for w in chi if chi[w] >= given.LEAST_CHI), key=lambda w: (-chi[w], known.index(w)))[: given.MARKERS] if len(bad) >= given.LEAST_DOCS else []
+        held = [set() for _ in range(given.KINDS)]
+        earlier = []
+        for w in marks:
+            mine = {id for id in bad if w in found[id]}
+            alike = [len(mine & other) / len(mine | other) for other, _ in earlier]
+            kind = earlier[alike.index(max(alike))][1] if alike and max(alike) >= 0.5 else min(range(given.KINDS), key=lambda k: len(held[k]))
+            earlier.append((mine, kind))
+            held[kind] |= mine
+        for k, ids in enumerate(held):
+            kind_of.update(((id, k), 1) for id in ids)
+    dense = lambda ids: np.array([[w in found[id] for w in known] for id in ids], float).reshape(len(ids), len(known))
+    x, every = dense([id for id, _ in train]), dense([id for id, _, _ in rows])
+    fold = np.array([folds[id] for id, _ in train])
+    wanted = [np.array([kind_of.get((id, k), 0) for id, _ in train]) for k in range(given.KINDS)] + [np.array([flags[id] for id, _ in train])]
+
+    def model(x, y):
+        share = (y.sum() + 0.5) / (len(y) + 1)
+        base = math.log(share / (1 - share))
+        if len(set(y.tolist())) < 2:
+            return lambda x: np.full(len(x), squash(base))
+        chance = lambda x, w: 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1] + base, -30, 30)))
+        w = descent(lambda w: np.r_[x.T @ (chance(x, w) - y) / len(y) + 1e-5 * w[:-1], (chance(x, w) - y).mean()], x.shape[1] + 1, given.STEPS, 0.1)
+        return lambda x: chance(x, w)
+
+    for y in wanted:
+        own = model(x, y)(every)
+        unseen = np.zeros(len(x))
+        for k in range(given.FOLDS):
+            unseen[fold == k] = model(x[fold != k], y[fold != k])(x[fold == k])
+        x, every = np.column_stack([x, unseen]), np.column_stack([every, own])
+    return {id: tuple(every[r, -len(wanted) :].tolist()) for r, (id, _, _) in enumerate(rows)}
+
+
+def preferences(x, good, pairs, given):
+    """Basis, weights and scores of a Bradley-Terry fit, pair by pair."""
+    columns = list(zip(*x))
+    middle = [sum(c) / len(c) for c in columns]
+    spread = [max(1e-6, math.sqrt(sum((v - m) ** 2 for v in c) / len(c))) for c, m in zip(columns, middle)]
+
+    def quantile(values, share):
+        values = sorted(values)
+        at = share * (len(values) - 1)
+        low = min(int(at), len(values) - 2)
+        return values[low] + (at - low) * (values[low + 1] - values[low])
+
+    edges = [[quantile(c, k / given.BINS) for k in range(1, given.BINS)] for c in columns]
+    basis = [[max(-4.0, min(4.0, (v - m) / s)) for v, m, s in zip(row, middle, spread)] + [float(v > e) for v, own in zip(row, edges) for e in own] for row in x]
+    random = np.random.default_rng(7)
+    better, worse = ([random.choice([i for i, g in enumerate(good) if g == side], pairs)] for side in (True, False))
+    differences = [np.array(basis[a]) - np.array(basis[b]) for a, b in zip(better[0], worse[0])]
+    w = descent(lambda w: 1e-3 * w - sum(d * squash(-float((d * w).sum())) for d in differences) / pairs, len(basis[0]), given.STEPS, 0.05)
+    raw = [float((np.array(b) * w).sum()) for b in basis]
+    cut = quantile(raw, good.count(False) / len(good))
+    return basis, w, [squash(r - cut + math.log(given.CUT / (1 - given.CUT))) for r in raw]
+
+
+def keyed(key, *parts):
+    return hashlib.sha256("|".join([key, *map(str, parts)]).encode()).hexdigest()
+
+
+def network(key, kind, a, b, many_a, many_b, rounds):
+    for i in range(rounds):
+        a, b, many_a, many_b = b, (a + int(keyed(key, kind, many_a, many_b, i, b)[:15], 16)) % many_a, many_b, many_a
+    return a, b
+
+
+def pseudonym(found, key, rounds):
+    """None where it stays."""
+    digits = [c for c in found if c in "0123456789"]
+
+    def permuted(kind, own):
+        left = len(own) // 2
+        a, b = network(key, kind, int("".join(own[:left])), int("".join(own[left:])), 10**left, 10 ** (len(own) - left), rounds)
+        return [*str(a).zfill(left), *str(b).zfill(len(own) - left)]
+
+    def filled(new):
+        new = iter(new)
+        return "".join(next(new) if c in "0123456789" else c for c in found)
+
+    def luhn(own, doubled):
+        return sum(int(c) if k % 2 != doubled else sum(map(int, str(2 * int(c)))) for k, c in enumerate(reversed(own)))
+
+    match = lambda form: re.fullmatch(form, found, re.ASCII)
+    if "@" in found:
+        return "u" + keyed(key, "email", found.lower())[:12] + "@example.com"
+    if match("AKIA[0-9A-Z]{16}"):
+        return "AKIA" + keyed(key, "secret", found)[:16].upper()
+    if match(r"(\d{1,3}\.){3}\d{1,3}"):
+        w, x, y, z = map(int, found.split("."))
+        a, b = network(key, "address", w * 256 + x, y * 256 + z, 65536, 65536, rounds)
+        return None if max(w, x, y, z) > 255 else f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+    if match(r"\d{4}-\d{2}-\d{2}") or match(r"\d{2}([./])\d{2}\1\d{4}"):
+        form = "%Y-%m-%d" if "-" in found else "%d.%m.%Y" if "." in found else "%m/%d/%Y"
+        try:
+            day = (datetime.datetime.strptime(found, form).date() - datetime.date(1800, 1, 1)).days
+        except ValueError:
+            return None
+        a, b = network(key, "date", day // 773, day % 773, 189, 773, rounds)
+        return (datetime.date(1800, 1, 1) + datetime.timedelta(a * 773 + b)).strftime(form) if 0 <= day < 146097 else None
+    if match(r"\d{3}-\d{2}-\d{4}"):
+        return filled(permuted("identity", digits))
+    if match(r"(\+\d{1,3}[ .-]?)?(\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}"):
+        return filled(digits[:-10] + permuted("phone", digits[-10:]))
+    if match(r"\d([ -]?\d){12,18}"):
+        body = permuted("card", digits[:-1])
+        return filled([*body, str(-luhn(body, 0) % 10)]) if luhn(digits, 1) % 10 == 0 else None
+    return (keyed(key, "secret", found) * (len(found) // 64 + 1))[: len(found)]
+
+
+def pseudonymised(text, key, forms, rounds):
+    """The new text and how many were replaced."""
+    many, out, at = 0, [], 0
+    for m in re.finditer(forms, text or "", re.ASCII):
+        new = pseudonym(m.group(), key, rounds)
+        many += new is not None
+        out += [text[at : m.start()], m.group() if new is None else new]
+        at = m.end()
+    return None if text is None else "".join(out) + text[at:], many
