@@ -7,8 +7,11 @@ what stands before the last ten digits, addresses stay four octets, identity num
 documents, and who has the key can take them back (`restore`). E-mail addresses, keys, tokens and passwords, which have no such
 format, give way to a keyed digest, linked as well but not taken back. What isn't valid stays.
 
+The secret is read by a subquery, from a table of one row or from a parameter, so that no plan and no event log prints it; without
+one the job fails.
+
 Null text stays null; texts without such data are unchanged. Everything is by row, so repeated rows are treated alike and
-an empty table gives none.
+an empty table gives none. Columns of docs may have any names; its own `__text` and `__n_replaced` give way to the new ones.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pursefold.llm.common import shielded
+
 ROUNDS = 10
 #: The forms that are looked for, tried in this order.
 FORMS = {
@@ -33,7 +38,7 @@ FORMS = {
 ANY = "|".join(f"(?:{p})" for p in FORMS.values())
 
 
-def digest(key: str, *parts: Column) -> Column:
+def digest(key: Column | str, *parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), *(p.cast("string") for p in parts)), 256)
 
 
@@ -41,7 +46,7 @@ def _number(hexes: Column) -> Column:
     return F.conv(F.substring(hexes, 1, 15), 16, 10).cast("long")
 
 
-def feistel(key: str, kind: str, a: Column, b: Column, many_a: Column, many_b: Column, restore: bool = False) -> Column:
+def feistel(key: Column | str, kind: str, a: Column, b: Column, many_a: Column, many_b: Column, restore: bool = False) -> Column:
     """A keyed permutation of pairs (a, b), 0 <= a < many_a, 0 <= b < many_b, as a struct; ROUNDS is even, so each half ends in its place."""
 
     def forth(s: Column, i: Column) -> Column:
@@ -61,7 +66,7 @@ def _power(n: Column) -> Column:
     return F.rpad(F.lit("1"), n + 1, "0").cast("long")
 
 
-def permuted_digits(key: str, kind: str, digits: Column, restore: bool = False) -> Column:
+def permuted_digits(key: Column | str, kind: str, digits: Column, restore: bool = False) -> Column:
     """2 to 18 digits for as many."""
     n = F.length(digits)
     left = F.floor(n / 2).cast("int")
@@ -82,7 +87,7 @@ def _luhn_sum(digits: Column, twice_first: int) -> Column:
     return F.aggregate(values, F.lit(0), lambda s, x: s + x)
 
 
-def pseudonym(found: Column, key: str, restore: bool = False) -> Column:
+def pseudonym(found: Column, key: Column | str, restore: bool = False) -> Column:
     """For one match of the forms; null where it isn't valid."""
     digits = F.regexp_replace(found, "[^0-9]", "")
     n = F.length(digits)
@@ -120,14 +125,22 @@ def pseudonym(found: Column, key: str, restore: bool = False) -> Column:
     return F.when(lettered.isNotNull(), F.lit(None)).otherwise(numeric) if restore else out
 
 
-def pseudonymised(docs: DataFrame, key: str, text: str = "text", restore: bool = False) -> DataFrame:
-    """docs with new columns `__text` and `__n_replaced`."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    some = F.col(text).rlike(ANY)
-    rows = docs.withColumn("__found", F.when(some, found)).withColumn("__gaps", F.when(some, F.split(text, ANY, -1)))
-    rows = rows.withColumn("__new", F.transform("__found", lambda m: pseudonym(m, key, restore)))
+def _with_key(docs: DataFrame, key: DataFrame | str) -> DataFrame:
+    rows = docs.sparkSession.sql("SELECT * FROM VALUES (:secret) AS held(secret)", {"secret": key}) if isinstance(key, str) else key
+    return docs.withColumn("__key", F.coalesce(rows.scalar().cast("string"), F.raise_error(F.lit("no key is given")).cast("string")))
+
+
+def pseudonymised(docs: DataFrame, key: DataFrame | str, text: str = "text", restore: bool = False) -> DataFrame:
+    """docs with new columns `__text` and `__n_replaced`. key: the secret, or a table of one row and column that holds it."""
+    return shielded(docs.drop(*{"__text", "__n_replaced"} - {text}), lambda d: _pseudonymised(d, key, text, restore))
+
+
+def _pseudonymised(docs: DataFrame, key: DataFrame | str, text: str, restore: bool) -> DataFrame:
+    rows = _with_key(docs, key).withColumn("__found", F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    some = F.size("__found") > 0
+    rows = rows.withColumn("__gaps", F.when(some, F.split(text, ANY, -1)))
+    rows = rows.withColumn("__new", F.when(some, F.transform("__found", lambda m: pseudonym(m, F.col("__key"), restore))))
     ends = F.concat(F.zip_with("__new", "__found", lambda new, old: F.coalesce(new, old)), F.array(F.lit("")))
     whole = F.array_join(F.zip_with("__gaps", ends, lambda gap, end: F.concat(gap, end)), "")
-    replaced = F.coalesce(F.size(F.filter("__new", lambda x: x.isNotNull())), F.lit(0))
-    replaced = F.when(F.col("__new").isNull(), F.lit(0)).otherwise(replaced)
-    return rows.select(*(docs[c] for c in docs.columns), F.when(F.col("__found").isNull(), F.col(text)).otherwise(whole).alias("__text"), replaced.alias("__n_replaced"))
+    replaced = F.when(some, F.size(F.filter("__new", lambda x: x.isNotNull()))).otherwise(0)
+    return rows.select(*docs.columns, F.when(some, whole).otherwise(F.col(text)).alias("__text"), replaced.alias("__n_replaced"))

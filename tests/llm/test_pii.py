@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pursefold.llm import pii, queries
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
 TEXTS = [
@@ -73,3 +74,30 @@ def test_odd_rows(spark, odd):
     done = pii.pseudonymised(odd, "k")
     assert done.count() == odd.count() and done.columns[: len(odd.columns)] == odd.columns
     assert pii.pseudonymised(odd.filter("false"), "k").count() == 0
+
+
+def test_documents_equal_a_plain_version(spark, found):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    was = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: (r.text, r.n_replaced) for r in queries.op7_pii(spark, SF).collect()}
+    assert got == {id: brute.pseudonymised(t, queries.KEY, pii.ANY, pii.ROUNDS) for id, t in was.items()}
+    assert found[1] == {k: brute.pseudonymised(t, "k", pii.ANY, pii.ROUNDS)[0] for k, t in enumerate(TEXTS)}
+
+
+def test_no_plan_shows_the_key(spark, found):
+    done = pii.pseudonymised(found[0], "a secret nobody reads")
+    done.collect()
+    assert "nobody" not in done._jdf.queryExecution().toString()
+    held = spark.createDataFrame([("k",)], "secret string")
+    assert {r.doc_id: r["__text"] for r in pii.pseudonymised(found[0], held).collect()} == found[1]
+    with pytest.raises(Exception, match="no key is given"):
+        pii.pseudonymised(found[0], held.filter("false")).collect()
+
+
+def test_columns_of_any_name(spark, found):
+    names = ("__found", "__gaps", "__new", "__key", "__text", "__n_replaced", "text2")
+    docs = found[0].withColumns({c: F.lit(c) for c in names})
+    done = pii.pseudonymised(docs, "k")
+    assert done.columns == ["doc_id", "text", "__found", "__gaps", "__new", "__key", "text2", "__text", "__n_replaced"]
+    for r in done.collect():
+        assert r["__text"] == found[1][r.doc_id] and [r[c] for c in ("__found", "__gaps", "__new", "__key")] == ["__found", "__gaps", "__new", "__key"]
