@@ -2,8 +2,8 @@
 
 A text is cut at single ASCII spaces between two characters that are not white space. Neither tokenizer's splitting pattern
 runs across such a place, so the ids of the pieces (each with its leading space) put together are the ids of the text. Pieces
-and their ids are kept in a bounded table. A text with any other white space beside a space is encoded whole, unless
-white space carries no ids (`spaces=False`).
+and their ids are kept in a table bounded in entries and, as pieces of over `LONGEST` characters are left out, in bytes. A
+text with any other white space beside a space is encoded whole, unless white space carries no ids (`spaces=False`).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from functools import cache
 import numpy as np
 
 LIMIT = 1 << 20
+LONGEST = 64
 SIGNS = (".", ",")
 #: How the byte-level vocabulary writes a space (fixed value).
 SPACE = "Ġ"
@@ -79,6 +80,10 @@ class Encoder:
             self._learn(list(dict.fromkeys(p for p in (flat[k] for k in missing) if p not in known)))
             for k in missing:
                 parts[k] = known[flat[k]]
+            for p in {flat[k] for k in missing if len(flat[k]) > LONGEST}:
+                known.pop(p, None)
+                if len(p) > LONGEST + 1:
+                    known.pop(p[:-1], None)
         found = []
         for text, head, first, a, b in zip(texts, heads, self.whole(heads), bounds, bounds[1:]):
             own = parts[a:b]

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pursefold.llm.tokens import Encoder
+from pursefold.llm.tokens import LONGEST, Encoder
 
 FILES = {"byte_bpe_50k.json": True, "word_bpe_49k.json": False}
 ODD = [
@@ -36,3 +36,13 @@ def test_any_text(pair, texts):
 def test_ids_are_32_bit_little_endian(pair):
     ids = pair[0].tokenizer.encode("some words", add_special_tokens=False).ids
     assert np.frombuffer(pair[0].ids(["some words"])[0], "<u4").tolist() == ids
+
+
+def test_very_long_words_are_whole_and_not_remembered(pair):
+    rng = np.random.default_rng(3)
+    mixed = bytes(rng.choice(np.frombuffer(b"abcDEF019+/", np.uint8), 300_000)).decode()
+    texts = [f"a {mixed}, b {mixed}", f"{mixed} c", f"{'x' * 50_000}. {'é' * 70}. {'w' * 66},", mixed, f" {'v' * 65}, {'v' * 65} {'v' * 65}"]
+    for own in pair:
+        for _ in range(2):
+            assert own.ids(texts) == own.whole(texts)
+            assert max(map(len, own.known), default=0) <= LONGEST
