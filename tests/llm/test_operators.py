@@ -381,6 +381,12 @@ def test_small_hosts_and_pages_of_nothing_else_lose_boilerplate(spark):
     assert got == {k: f"body {k}" for k in range(4)} | {9: "", 10: "menu\nfooter"}
 
 
+def test_a_line_on_three_pages_in_a_hundred_goes(spark):
+    docs = spark.range(100).selectExpr("id doc_id", "'h' source", "concat(if(id < 3, 'menu\n', if(id < 5, 'twice\n', '')), 'own ', id) text")
+    got = {r.doc_id: (r["__text"], r["__n_removed"]) for r in lines.cleaned(docs, "source").collect()}
+    assert got == {k: (f"twice\nown {k}" if k in (3, 4) else f"own {k}", int(k < 3)) for k in range(100)}
+
+
 def test_a_line_on_every_page_is_split(spark, split):
     """With broadcasts off, the hot line's rows are dealt to several tasks."""
     docs = spark.range(0, 20_000, 1, 16).selectExpr("id doc_id", "'h' source", "concat('footer\nown ', id) text")
