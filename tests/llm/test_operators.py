@@ -478,6 +478,29 @@ def test_preferences_equal_a_plain_fit():
     assert np.allclose(model.score(x), scores, atol=1e-6)
 
 
+def test_every_row_and_pair_is_fitted_on(spark, monkeypatch):
+    """The slope over all pairs, one by one, is flat; quantiles and cut are those of all rows."""
+    monkeypatch.setattr(quality_rank, "BLOCK", 16)
+    random = np.random.default_rng(5)
+    x = random.normal(size=(150, quality_rank.N_FEATURES)).astype(np.float32)
+    x[:, 3], x[::3, 4] = 0, -x[0, 4]
+    good = x[:, 0] + x[:, 1] + random.normal(size=150) > 0.3
+    rows = spark.createDataFrame([(k, x[k].tolist()) for k in range(150)], "doc_id long, x array<float>")
+    labels = spark.createDataFrame([(k, int(good[k])) for k in range(150)], "doc_id long, quality int")
+    used = np.array([zlib.crc32(str(k).encode()) % 4 != 2 for k in range(150)])
+    x, good = x[used].astype(float), good[used]
+    blocks = quality_rank.training(rows, labels)
+    assert blocks.count() > 3 and sum(len(r.good) for r in blocks.collect()) == len(x)
+    model = quality_rank.fit_all(blocks)
+    assert np.allclose(model.middle, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-6))
+    assert np.array_equal(model.edges, np.quantile(x, np.linspace(0, 1, quality_rank.BINS + 1)[1:-1], axis=0).T)
+    basis = model.basis(x)
+    pairs = (basis[good][:, None] - basis[~good]).reshape(-1, basis.shape[1])
+    slope = quality_rank.RIDGE * model.weights - (pairs / (1 + np.exp(pairs @ model.weights))[:, None]).mean(axis=0)
+    assert np.abs(slope).max() < 1e-5
+    assert model.cut == pytest.approx(np.quantile(basis @ model.weights, (~good).mean()), abs=1e-9)
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(k, k % 2) for k in range(10)] + [(None, 1), (3, None), (77, 1)], "doc_id long, toxic int")
     assert toxicity.scored(odd, labels).count() == odd.count()
