@@ -15,6 +15,7 @@ from pursefold.functions.parsing import PARSERS
 from pursefold.functions.rules import as_date
 from pursefold.operators.audit import cell_metrics, key_faults, loss_metrics, refuse_repeated, require_key
 from pursefold.operators.keyed import split_null_keys
+from pursefold.operators.merge import merge_into_vouchers
 from pursefold.plans import activity, profile, promotion
 from pursefold.schemas import (
     ACTIVE,
@@ -32,8 +33,10 @@ from pursefold.schemas import (
     USERS,
     VOUCHER,
     Entity,
+    Target,
 )
 from pursefold.sources import lake, tsv
+from pursefold.sources.paths import shared_folder
 from pursefold.sources.state import StateStore
 
 
@@ -97,11 +100,18 @@ def run_day(
         day = lake.read_lake_day(spark, lake_root, entity, store_date)
         return split_null_keys(day, entity.key)[0]
 
-    unknown: list[Observation] = []
+    def due(target: Target) -> bool:
+        return again or not state.has_day(target, str(store_date))
 
-    def promoted(old: DataFrame) -> DataFrame:
-        unknown.append(Observation())
-        return promotion.promotion_update(old, promotions, campaigns, as_of, unknown[-1])
+    def claims_of(promotions: DataFrame, campaigns: DataFrame) -> DataFrame:
+        """The day's claims with their campaigns, parsed and joined once for both tables that take them."""
+        unknown = Observation()
+        claims = promotion.voucher_claims(promotions, campaigns, unknown=unknown)
+        path = f"{shared_folder(spark)}/claims"
+        claims.write.parquet(path)
+        if due(USER_PROMOTION):
+            known[f"{PROMOTIONS.folder}.unknown_campaign"] = unknown.get["n"]
+        return spark.read.schema(claims.schema).parquet(path)
 
     # No table depends on another, nor does an entity, so their jobs may run side by side.
     with ThreadPoolExecutor(max_workers=len(TARGETS)) as pool:
@@ -125,21 +135,21 @@ def run_day(
             known[f"{CAMPAIGNS.folder}.rejected"] = faults.null_key_rows
             refuse_repeated(faults, CAMPAIGNS.key, CAMPAIGNS.folder)
             campaigns, _ = split_null_keys(campaigns, CAMPAIGNS.key)
-            coded, _ = split_null_keys(promotions, VOUCHER.key)
-            updates += [
-                (USER_PROMOTION, promoted, promotions, state.update),
-                (VOUCHER, lambda old: promotion.voucher_merge(old, coded, campaigns), coded, state.update),
-            ]
+            if due(USER_PROMOTION) or due(VOUCHER):
+                claims = claims_of(promotions, campaigns)
+                coded, _ = split_null_keys(claims, VOUCHER.key)
+                updates += [
+                    (USER_PROMOTION, lambda old: promotion.claims_update(old, claims, as_of), claims, state.update),
+                    (VOUCHER, lambda old: merge_into_vouchers(old, coded), coded, state.update),
+                ]
 
         def update(item):
             target, change, batch, apply = item
-            if not again and state.has_day(target, str(store_date)):
+            if not due(target):
                 return f"{target.name}.rows", None
             return f"{target.name}.rows", apply(target, change, str(store_date), batch)
 
         known.update((name, n) for name, n in side_by_side(update, updates) if n is not None)
-    if unknown:
-        known[f"{PROMOTIONS.folder}.unknown_campaign"] = unknown[-1].get["n"]
     return spark.createDataFrame(list(known.items()), "stage string, n bigint")
 
 

@@ -48,10 +48,9 @@ def actual_expiry(claims: DataFrame) -> DataFrame:
 
 
 def _dated_status(
-    promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str,
-    unknown: Observation | None = None,
+    promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
-    claims = actual_expiry(promotion_with_campaign(promotions, campaigns, unknown))
+    claims = actual_expiry(promotion_with_campaign(promotions, campaigns))
     return claims.withColumn("expired", is_expired(F.col("actual_expire"), as_of))
 
 
@@ -63,31 +62,39 @@ def promotion_status(
     return dated.select(*USER_PROMOTION.names).distinct()
 
 
+def latest_of_claims(claims: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """One status per (user, campaign) of ``voucher_claims``: that of the latest one, then largest voucher code."""
+    dated = claims.withColumn("expired", is_expired(F.col("actual_expire"), as_of)).filter(F.col("user_id").isNotNull())
+    columns = USER_PROMOTION.names
+    rows = dated.select(*columns, "time_s", "voucher_code")
+    return latest_by_key(rows, USER_PROMOTION.key, ["time_s", "voucher_code"]).select(*columns)
+
+
 def latest_promotion(
-    promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str,
-    unknown: Observation | None = None,
+    promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
     """One status per (user, campaign): that of the latest claim, then largest voucher code."""
-    dated = _dated_status(promotions, campaigns, as_of, unknown).filter(F.col("user_id").isNotNull())
-    columns = USER_PROMOTION.names
-    claims = dated.select(*columns, "time_s", "voucher_code")
-    return latest_by_key(claims, USER_PROMOTION.key, ["time_s", "voucher_code"]).select(*columns)
+    return latest_of_claims(voucher_claims(promotions, campaigns), as_of)
 
 
 def promotion_update(
-    state: DataFrame, promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str,
-    unknown: Observation | None = None,
+    state: DataFrame, promotions: DataFrame, campaigns: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
     """Merge a batch of promotions; its (user, campaign) rows replace the stored ones."""
-    batch = latest_promotion(promotions, campaigns, as_of, unknown)
-    return merge_overwrite(state, batch, USER_PROMOTION.key)
+    return claims_update(state, voucher_claims(promotions, campaigns), as_of)
+
+
+def claims_update(state: DataFrame, claims: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """``promotion_update`` by a batch of ``voucher_claims``."""
+    return merge_overwrite(state, latest_of_claims(claims, as_of), USER_PROMOTION.key)
 
 
 def voucher_claims(
-    promotions: DataFrame, campaigns: DataFrame, min_per_voucher: bool = False
+    promotions: DataFrame, campaigns: DataFrame, min_per_voucher: bool = False,
+    unknown: Observation | None = None,
 ) -> DataFrame:
     """Claims with their actual expiry; optionally from the voucher's earliest expiry."""
-    claims = promotion_with_campaign(promotions, campaigns)
+    claims = promotion_with_campaign(promotions, campaigns, unknown)
     if min_per_voucher:
         claims = voucher_expiry_min(claims)
     return actual_expiry(claims).select(*VOUCHER.names)

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from pursefold.plans import activity, daily, profile
+from pursefold.plans import activity, daily, profile, promotion
 from pursefold.schemas import CAMPAIGNS, PROMOTIONS, TARGETS, TRANSACTIONS, USERS
 from pursefold.sources import lake
 from pursefold.sources.state import StateStore
@@ -211,3 +211,11 @@ def test_the_report_reads_no_data(spark, source, tmp_path):
     assert counted["transactions.rows"] == txn.count()
     assert counted["user_pmc.rejected"] == txn.filter("user_id is not null and pmc_id is null").count()
     assert counted["promotions.unknown_campaign"] == 0 and counted["configs.rejected"] == 0
+
+
+def test_a_day_of_claims_meets_its_campaigns_once(spark, source, tmp_path, monkeypatch):
+    """Both tables of claims read what one join has written, and a day that they have makes none."""
+    joins, join = [], promotion.promotion_with_campaign
+    monkeypatch.setattr(promotion, "promotion_with_campaign", lambda *a, **k: joins.append(1) or join(*a, **k))
+    run(spark, source, tmp_path, [DAYS[0], DAYS[2], DAYS[2]], as_of="2021-11-05")
+    assert len(joins) == 2
