@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
@@ -36,7 +37,7 @@ from pursefold.schemas import (
     Target,
 )
 from pursefold.sources import lake, tsv
-from pursefold.sources.paths import shared_folder
+from pursefold.sources.paths import delete
 from pursefold.sources.state import StateStore
 
 
@@ -103,15 +104,17 @@ def run_day(
     def due(target: Target) -> bool:
         return again or not state.has_day(target, str(store_date))
 
+    #: Beside the tables, for as long as the day runs.
+    joined = f"{state.root}/claims-{uuid.uuid4().hex}"
+
     def claims_of(promotions: DataFrame, campaigns: DataFrame) -> DataFrame:
         """The day's claims with their campaigns, parsed and joined once for both tables that take them."""
         unknown = Observation()
         claims = promotion.voucher_claims(promotions, campaigns, unknown=unknown)
-        path = f"{shared_folder(spark)}/claims"
-        claims.write.parquet(path)
+        claims.write.parquet(joined)
         if due(USER_PROMOTION):
             known[f"{PROMOTIONS.folder}.unknown_campaign"] = unknown.get["n"]
-        return spark.read.schema(claims.schema).parquet(path)
+        return spark.read.schema(claims.schema).parquet(joined)
 
     # No table depends on another, nor does an entity, so their jobs may run side by side.
     with ThreadPoolExecutor(max_workers=len(TARGETS)) as pool:
@@ -149,7 +152,10 @@ def run_day(
                 return f"{target.name}.rows", None
             return f"{target.name}.rows", apply(target, change, str(store_date), batch)
 
-        known.update((name, n) for name, n in side_by_side(update, updates) if n is not None)
+        try:
+            known.update((name, n) for name, n in side_by_side(update, updates) if n is not None)
+        finally:
+            delete(spark, joined)
     return spark.createDataFrame(list(known.items()), "stage string, n bigint")
 
 

@@ -219,3 +219,4 @@ def test_a_day_of_claims_meets_its_campaigns_once(spark, source, tmp_path, monke
     monkeypatch.setattr(promotion, "promotion_with_campaign", lambda *a, **k: joins.append(1) or join(*a, **k))
     run(spark, source, tmp_path, [DAYS[0], DAYS[2], DAYS[2]], as_of="2021-11-05")
     assert len(joins) == 2
+    assert not list((tmp_path / "state").glob("claims*"))
