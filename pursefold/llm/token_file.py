@@ -5,13 +5,13 @@ it decodes to. Inside, the ids lie in up to `LANES` lanes that are coded side by
 coder each; so numpy does the arithmetic for all lanes at once.
 
 The next id is predicted by three orders. Order 2 and order 1 each name the id that last followed the last two or the last one,
-and how often that has held lately gives each such guess a share of the range; where both name the same id their shares are
-added. The rest goes by order 0, the ids' frequencies so far in the block, brought up to date after every `REFRESH` columns. Encoder
-and decoder take the same steps with whole numbers only. A file is a table of blocks, written by Spark with its commit
+and how often such a pair of guesses, trusted so far, has held in the block gives each its share of the range. The rest goes by order 0,
+the ids' frequencies so far in the block. Shares and frequencies are brought up to date after every `REFRESH` columns. Encoder
+and decoder take the same steps with whole numbers only (a quotient of numbers below 2^53 is taken in doubles, where it is exact). A file is a table of blocks, written by Spark with its commit
 protocol; `payload` has the format below, and files are read block by block.
 
-Payload, little-endian: magic `PFR1`, end id, lanes, columns, ids, CRC-32 of the ids as unsigned 32-bit numbers (5 x u32), bytes of each
-lane (u32 each), the lanes' bytes.
+Payload, little-endian: magic `PFR2`, end id, lanes, columns, ids, CRC-32 of the ids as unsigned 32-bit numbers (5 x u32), then 16-bit words
+of all lanes: the first three of each, and after these the others in the order in which the decoder takes them.
 
 Null and empty texts are one end id. Repeated rows are written as often as they occur, ordered by id and then a hash of the text.
 A null id comes first. An empty table gives an empty file.
@@ -30,64 +30,57 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pursefold.llm.common import text_hash
-from pursefold.llm.tokens import encoder
+from pursefold.llm.tokens import chunks, encoder
 
-MAGIC = b"PFR1"
+MAGIC = b"PFR2"
 BLOCK, LANES, REFRESH = 1 << 20, 2048, 16
 #: Columns of a block at least; what one column teaches serves the next.
 LONG = 512
-BITS = 28
-WHOLE = np.int64(1 << BITS)
-LEAST = 64  # of WHOLE, for an id not seen yet
+BITS = 26
+WHOLE = 1 << BITS
+LEAST = 16  # of WHOLE, for an id not seen yet; it stays one at least as order 0 keeps a sixteenth of the range
+GUESSED = WHOLE - WHOLE // 16
 TABLE2 = 1 << 18
-TOP, BOTTOM = np.uint64(1 << 44), np.uint64(1 << 60)
-MASK = np.uint64((1 << 60) - 1)
+TOP, BOTTOM = 1 << 48, 1 << 32  # a lane's range lies between; all below 2^53, so floor(a / b) of doubles is exact
+HIT2, HIT1, MISS = range(3)
+#: What a wrong guess and a right one do to a trust of 0 to 15.
+CHANGE = np.array([-(t + 1 >> 1) for t in range(16)] + [1] * 15 + [0], np.int32)
 
 
 class Model:
-    """What both sides know of a block: guesses of order 1 and 2 and how far to trust them, frequencies of order 0."""
+    """What both sides know of a block: guesses of order 1 and 2 and how far to trust them, frequencies of order 0.
+
+    Guesses of both orders lie in one table, an id and its trust (1 to 15; 0: nothing known) in one number. How often either was right
+    is counted for each pair of trusts, apart where both name one id.
+    """
 
     def __init__(self, ids: int) -> None:
         self.ids = ids
-        self.next1, self.next2 = np.full(ids + 1, -1, np.int32), np.full(TABLE2, -1, np.int32)
-        self.trust1, self.trust2 = np.zeros(ids + 1, np.int8), np.zeros(TABLE2, np.int8)
-        self.right = np.ones((2, 16), np.int64)
-        self.tried = np.full((2, 16), 3, np.int64)
+        self.table = np.full(ids + 1 + TABLE2, ids << 4, np.int32)
+        trust2, trust1, same = np.arange(512) >> 5, np.arange(512) >> 1 & 15, np.arange(512) & 1
+        self.least = np.stack([trust2 > 0, (trust1 > 0) & (same == 0), np.ones(512, bool)], 1).astype(np.int64)
+        self.counts = self.least * [1, 1, 2]
         self.seen = np.zeros(ids, np.int64)
         self.refresh()
 
     def refresh(self) -> None:
-        room, total = int(WHOLE) - LEAST * self.ids, int(self.seen.sum())
+        room, total = WHOLE - LEAST * self.ids, int(self.seen.sum())
         upto = np.r_[0, np.cumsum(self.seen)]
-        self.upto = upto * room // total + LEAST * np.arange(self.ids + 1) if total else np.arange(self.ids + 1) * int(WHOLE) // self.ids
+        self.upto = upto * room // total + LEAST * np.arange(self.ids + 1) if total else np.arange(self.ids + 1) * WHOLE // self.ids
         self.upto[-1] = WHOLE
-
-    def guesses(self, one: np.ndarray, two: np.ndarray):
-        """Guessed ids and their shares of WHOLE. The second guess has none where it is the first."""
-        self.h2 = (one.astype(np.int64) * 0x9E3779B1 + two.astype(np.int64) * 0x85EBCA6B >> 7) & (TABLE2 - 1)
-        self.h1 = one
-        guess2, guess1 = self.next2[self.h2], self.next1[one]
-        self.t2, self.t1 = self.trust2[self.h2], self.trust1[one]
-        share = (WHOLE * self.right) // self.tried
-        share2 = np.where(guess2 >= 0, share[1][self.t2], 0) * 15 // 16
-        share1 = np.where(guess1 >= 0, share[0][self.t1], 0) * 15 // 16
-        rest = WHOLE - share2
-        share1 = (rest >> 14) * (share1 >> 14)
-        same = guess1 == guess2
-        share2 = np.minimum(share2 + np.where(same, share1, 0), WHOLE * 63 // 64)
-        share1 = np.where(same, 0, np.minimum(share1, WHOLE * 63 // 64 - share2))
-        return guess2, guess1, share2, np.maximum(share1, 0)
-
-    def learn(self, ids: np.ndarray, guess2: np.ndarray, guess1: np.ndarray) -> None:
-        for order, (table, trust, at, t, guess) in enumerate(((self.next1, self.trust1, self.h1, self.t1, guess1), (self.next2, self.trust2, self.h2, self.t2, guess2))):
-            known, hit = guess >= 0, guess == ids
-            self.tried[order] += np.bincount(t[known], minlength=16)
-            self.right[order] += np.bincount(t[hit], minlength=16)
-            old = self.tried[order] > 1 << 16
-            self.tried[order][old] >>= 1
-            self.right[order][old] >>= 1
-            trust[at] = np.where(hit, np.minimum(t + 1, 15), t >> 1)
-            table[at] = np.where(known & ~hit & (t > 1), guess, ids)
+        every = self.counts.sum(axis=1)
+        old = every > 1 << 16
+        self.counts[old] = np.maximum(self.counts[old] >> 1, self.least[old])
+        every[old] = self.counts[old].sum(axis=1)
+        self.share2 = GUESSED * self.counts[:, HIT2] // every
+        self.shares = self.share2 + GUESSED * self.counts[:, HIT1] // every
+
+    def learn(self, ids: np.ndarray, pairs: np.ndarray, hit: np.ndarray) -> None:
+        """Counts ids, and by pair of trusts whether the guess of order 2, of order 1 or none was right."""
+        self.seen += np.bincount(ids, minlength=self.ids)
+        kinds = np.where(hit[0], HIT2, np.where(hit[1], HIT1, MISS))
+        self.counts += np.bincount(pairs * 3 + kinds, minlength=512 * 3).reshape(512, 3)
+        self.refresh()
 
 
 class Lanes:
@@ -99,18 +92,29 @@ class Lanes:
         self.step, self.fresh = 0, []
 
     def guesses(self, n: int):
-        return self.model.guesses(self.one[:n], self.two[:n])
-
-    def learn(self, ids: np.ndarray, guess2: np.ndarray, guess1: np.ndarray) -> None:
-        n = len(ids)
-        self.model.learn(ids, guess2, guess1)
+        """Guessed ids of order 2 and 1, and where their shares of WHOLE end: the first begins at 0, the second where the first ends."""
+        model, one, two = self.model, self.one[:n], self.two[:n]
+        self.at = np.empty((2, n), np.int64)
+        self.at[0] = ((one * 0x9E3779B1 + two * 0x85EBCA6B >> 7) & (TABLE2 - 1)) + (model.ids + 1)
+        self.at[1] = one
+        self.entries = model.table.take(self.at)
+        self.guessed, self.trust = self.entries >> 4, self.entries & 15
+        guess2, guess1 = self.guessed
+        self.pairs = ((self.trust[0] << 5) + (self.trust[1] << 1) + (guess2 == guess1)).astype(np.int64)
+        return guess2, guess1, model.share2.take(self.pairs), model.shares.take(self.pairs)
+
+    def remember(self, ids: np.ndarray) -> None:
+        """The column's ids, after its `guesses`."""
+        n, trust = len(ids), self.trust
+        hit = self.guessed == ids
+        kept = self.entries + CHANGE.take((hit << 4) + trust)
+        self.model.table[self.at] = np.where(hit | (trust > 2), kept, (ids << 4) + 1)
         self.two[:n], self.one[:n] = self.one[:n], ids
-        self.fresh.append(ids)
+        self.fresh.append((ids, self.pairs, hit))
         self.step += 1
         if self.step % REFRESH == 0 or self.step in (1, 2, 4, 8):
-            self.model.seen += np.bincount(np.concatenate(self.fresh), minlength=self.model.ids)
+            self.model.learn(*(np.concatenate(x, axis=-1) for x in zip(*self.fresh)))
             self.fresh = []
-            self.model.refresh()
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -118,15 +122,24 @@ def _shape(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
-def _widths(n: int, lanes: int, columns: int) -> np.ndarray:
+def _widths(n: int, lanes: int, columns: int) -> list[int]:
     """How many lanes have an id in each column: lanes are consecutive runs, the first ones a column longer."""
-    return np.where(np.arange(columns) < n // lanes, lanes, n % lanes)
+    return [lanes if column < n // lanes else n % lanes for column in range(columns)]
+
+
+def _dealt(ids: np.ndarray, lanes: int, columns: int) -> np.ndarray:
+    """The ids of each lane in a row, the last place of the shorter ones empty; a copy."""
+    n, grid = len(ids), np.zeros((lanes, columns), np.int32)
+    long = n % lanes or lanes
+    grid[:long] = ids[: long * columns].reshape(long, columns)
+    grid[long:, : columns - 1] = ids[long * columns :].reshape(lanes - long, columns - 1)
+    return grid
 
 
-def _grid(n: int, lanes: int, columns: int) -> np.ndarray:
-    """Where each lane starts among the block's ids."""
-    long = n % lanes
-    return np.arange(lanes) * (n // lanes) + np.minimum(np.arange(lanes), long)
+def _gathered(grid: np.ndarray, n: int) -> np.ndarray:
+    """The ids that `_dealt` has dealt."""
+    long = n % len(grid) or len(grid)
+    return np.concatenate([grid[:long].ravel(), grid[long:, :-1].ravel()]).astype("<u4")
 
 
 def encode(ids: np.ndarray, size: int, end_id: int = 0) -> bytes:
@@ -134,51 +147,52 @@ def encode(ids: np.ndarray, size: int, end_id: int = 0) -> bytes:
     n = len(ids)
     crc = zlib.crc32(ids.astype("<u4").tobytes())
     lanes, columns = _shape(n)
-    starts, state = _grid(n, lanes, columns), Lanes(size, lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, MASK, np.uint64)
-    out = np.zeros((lanes, columns * 2 + 8), "<u2")
-    used = np.zeros(lanes, np.int64)
-
-    def shift(at: np.ndarray) -> None:
-        out[at, used[at]] = (low[at] >> np.uint64(44)).astype(np.uint16)
-        used[at] += 1
-        low[at] = (low[at] << np.uint64(16)) & MASK
-        span[at] <<= np.uint64(16)
-
-    for column, width in enumerate(_widths(n, lanes, columns).tolist()):
-        x = ids[starts[:width] + column].astype(np.int64)
-        guess2, guess1, share2, share1 = state.guesses(width)
-        both, upto = share2 + share1, state.model.upto
-        rest = WHOLE - both
-        begin, end = both + (upto[x] * rest >> BITS), both + (upto[x + 1] * rest >> BITS)
-        hit1 = (guess1 == x) & (share1 > 0)
-        begin, end = np.where(hit1, share2, begin), np.where(hit1, both, end)
-        hit2 = (guess2 == x) & (share2 > 0)
-        begin, end = np.where(hit2, 0, begin), np.where(hit2, share2, end)
-        unit = span[:width] >> np.uint64(BITS)
-        low[:width] += begin.astype(np.uint64) * unit
-        span[:width] = (end - begin).astype(np.uint64) * unit
-        _settle(low[:width], span[:width], shift)
-        state.learn(x, guess2, guess1)
-    for _ in range(4):
-        shift(np.arange(lanes))
-    head = struct.pack("<4s5I", MAGIC, end_id, lanes, columns, n, crc)
-    return head + used.astype("<u4").tobytes() + b"".join(out[k, : used[k]].tobytes() for k in range(lanes))
-
-
-def _settle(low: np.ndarray, span: np.ndarray, shift) -> None:
-    """Moves out the top 16 bits where they are settled, or where the range is too small and is cut so that they are."""
-    while True:
-        settled = (low >> np.uint64(44)) == ((low + span - np.uint64(1)) >> np.uint64(44))
-        small = ~settled & (span < np.uint64(1 << 30))
-        if small.any():
-            at = np.flatnonzero(small)
-            span[at] = TOP - (low[at] & (TOP - np.uint64(1)))
-            settled |= small
-        if not settled.any():
-            return
-        at = np.flatnonzero(settled)
-        shift(at)
+    dealt, state = np.ascontiguousarray(_dealt(ids, lanes, columns).T), Lanes(size, lanes)
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, TOP, np.int64)
+    out = np.zeros((lanes, columns * 2 + 3), np.int32)
+    flat, begins = out.reshape(-1), np.arange(lanes) * out.shape[1]
+    place, order = begins.copy(), []
+
+    for column, width in enumerate(_widths(n, lanes, columns)):
+        x = dealt[column, :width]
+        guess2, guess1, share2, both = state.guesses(width)
+        hit2 = guess2 == x
+        begin, end = np.where(hit2, 0, share2), np.where(hit2, share2, both)
+        rare = np.flatnonzero(~hit2 & (guess1 != x))
+        upto, base, y = state.model.upto, both[rare], x[rare]
+        begin[rare] = base + (upto[y] * (WHOLE - base) >> BITS)
+        end[rare] = base + (upto[y + 1] * (WHOLE - base) >> BITS)
+        unit = span[:width] >> BITS
+        low[:width] += begin * unit
+        span[:width] = (end - begin) * unit
+        at = np.flatnonzero(span < BOTTOM)
+        while len(at):
+            now, to = low[at], place[at]
+            flat[to] = now >> 32
+            order.append(to)
+            place[at] = to + 1
+            low[at] = (now & (BOTTOM - 1)) << 16
+            span[at] <<= 16
+            at = at[span[at] < BOTTOM]
+        state.remember(x)
+    for k, word in enumerate((low >> 32, low >> 16 & 0xFFFF, low & 0xFFFF)):
+        flat[place + k] = word
+    used = out[:, : int((place - begins).max()) + 3]
+    while (over := used >> 16).any():  # carries
+        used &= 0xFFFF
+        used[:, :-1] += over[:, 1:]
+    # The decoder starts with three words of each lane and, where the encoder moved out a word, needs the third after it.
+    words = np.concatenate([out[:, :3].ravel(), *(flat[to + 3] for to in order)]).astype("<u2")
+    return struct.pack("<4s5I", MAGIC, end_id, lanes, columns, n, crc) + words.tobytes()
+
+
+def _last_at_most(upto: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the last entry lies that is not greater, for each; sorted first, so that neighbours look in the same places."""
+    bits = len(wanted).bit_length()
+    ranked = np.sort((wanted << bits) + np.arange(len(wanted)))
+    found = np.empty(len(wanted), np.int64)
+    found[ranked & ((1 << bits) - 1)] = np.searchsorted(upto, ranked >> bits, side="right") - 1
+    return found
 
 
 def decode(payload: bytes, size: int) -> np.ndarray:
@@ -186,47 +200,36 @@ def decode(payload: bytes, size: int) -> np.ndarray:
     magic, _, lanes, columns, n, crc = struct.unpack_from("<4s5I", payload)
     if magic != MAGIC:
         raise ValueError("not a block of token ids")
-    used = np.frombuffer(payload, "<u4", lanes, 24).astype(np.int64)
-    stream = np.frombuffer(payload[24 + 4 * lanes :], "<u2")
-    place = np.cumsum(used) - used
-    stream = np.r_[stream, np.zeros(8, np.uint16)].astype(np.uint64)
-    starts, state = _grid(n, lanes, columns), Lanes(size, lanes)
-    low, span, code = np.zeros(lanes, np.uint64), np.full(lanes, MASK, np.uint64), np.zeros(lanes, np.uint64)
-    for k in range(3):
-        code |= stream[place + k] << np.uint64(44 - 16 * k)
-    code |= stream[place + 3] >> np.uint64(4)
-    # The 60-bit window ends inside a 16-bit word: its last 12 bits are the upper ones of the fourth word.
-    place = place + 3
-    ids = np.zeros(n, np.int64)
-
-    def shift(at: np.ndarray) -> None:
-        low[at] = (low[at] << np.uint64(16)) & MASK
-        span[at] <<= np.uint64(16)
-        here = np.minimum(place[at], len(stream) - 2)
-        fresh = ((stream[here] & np.uint64(15)) << np.uint64(12)) | (stream[here + 1] >> np.uint64(4))
-        code[at] = ((code[at] << np.uint64(16)) & MASK) | fresh
-        place[at] += 1
-
-    for column, width in enumerate(_widths(n, lanes, columns).tolist()):
-        guess2, guess1, share2, share1 = state.guesses(width)
-        both, upto = share2 + share1, state.model.upto
-        unit = span[:width] >> np.uint64(BITS)
-        value = np.minimum(((code[:width] - low[:width]) // unit).astype(np.int64), WHOLE - 1)
-        rest = WHOLE - both
-        inside = np.maximum(value - both, 0)
-        x = np.searchsorted(upto, ((inside + 1 << BITS) - 1) // rest, side="right") - 1
-        x = np.minimum(x, size - 1)
-        begin, end = both + (upto[x] * rest >> BITS), both + (upto[x + 1] * rest >> BITS)
-        hit1 = value < both
-        x, begin, end = np.where(hit1, guess1, x), np.where(hit1, share2, begin), np.where(hit1, both, end)
+    stream = np.frombuffer(payload[24:], "<u2").astype(np.int64)
+    first = stream[: 3 * lanes].reshape(lanes, 3)
+    code, span, read = (first[:, 0] << 32) + (first[:, 1] << 16) + first[:, 2], np.full(lanes, TOP, np.int64), 3 * lanes
+    dealt, state = np.zeros((columns, lanes), np.int32), Lanes(size, lanes)
+
+    for column, width in enumerate(_widths(n, lanes, columns)):
+        guess2, guess1, share2, both = state.guesses(width)
+        unit = span[:width] >> BITS
+        value = np.minimum((code[:width] / unit).astype(np.int64), WHOLE - 1)
         hit2 = value < share2
-        x, begin, end = np.where(hit2, guess2, x), np.where(hit2, 0, begin), np.where(hit2, share2, end)
-        low[:width] += begin.astype(np.uint64) * unit
-        span[:width] = (end - begin).astype(np.uint64) * unit
-        _settle(low[:width], span[:width], shift)
-        state.learn(x, guess2, guess1)
-        ids[starts[:width] + column] = x
-    if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
+        x = np.where(hit2, guess2, guess1)
+        begin, end = np.where(hit2, 0, share2), np.where(hit2, share2, both)
+        rare = np.flatnonzero(value >= both)
+        upto, base = state.model.upto, both[rare]
+        rest = WHOLE - base
+        wanted = (((value[rare] - base + 1 << BITS) - 1) / rest).astype(np.int64)
+        y = np.minimum(_last_at_most(upto, wanted), size - 1)
+        x[rare], begin[rare], end[rare] = y, base + (upto[y] * rest >> BITS), base + (upto[y + 1] * rest >> BITS)
+        code[:width] -= begin * unit
+        span[:width] = (end - begin) * unit
+        at = np.flatnonzero(span < BOTTOM)
+        while len(at):
+            code[at] = (code[at] << 16) + stream[read : read + len(at)]
+            read += len(at)
+            span[at] <<= 16
+            at = at[span[at] < BOTTOM]
+        state.remember(x)
+        dealt[column, :width] = x
+    ids = _gathered(np.ascontiguousarray(dealt.T), n)
+    if zlib.crc32(ids) != crc:
         raise ValueError("a block of token ids is damaged")
     return ids
 
@@ -244,9 +247,8 @@ def _block_rows(tokenizer: str, spaces: bool, end_id: int, size: int):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], BLOCK_COLUMNS)
 
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                piece = batch.slice(at, 128)
-                for id, ids in zip(piece.column(0).to_pylist(), own.ids([t or "" for t in piece.column(1).to_pylist()])):
+            for piece in chunks(batch, 1):
+                for id, ids in zip(piece.column(0).to_pylist(), own.ids(piece.column(1))):
                     docs.append(id)
                     parts.append(ids + end)
                     total += len(parts[-1]) // 4
@@ -285,7 +287,7 @@ def read(spark: SparkSession, path: str, size: int) -> DataFrame:
         for batch in batches:
             for k in range(len(batch)):
                 first, docs, lengths, payload = (c[k].as_py() for c in batch.columns)
-                data = decode(payload, size).astype("<u4").tobytes()
+                data = decode(payload, size).tobytes()
                 n = np.array(lengths, np.int64)
                 begin = np.cumsum(n) - n
                 ids = [data[4 * a : 4 * (a + m)] for a, m in zip(begin.tolist(), lengths)]
