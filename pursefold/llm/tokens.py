@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-LIMIT = 3 << 19
+LIMIT = 1 << 20
 LONGEST = 64
 SIGNS, MOST_SIGNS = string.punctuation.replace("'", ""), 8
 #: How the byte-level vocabulary writes a space (fixed value).
@@ -138,8 +138,7 @@ class Encoder:
             parts = [ids or b"" for ids in parts]
         # Texts that must be encoded whole have their ids in place of their first piece's, as have first pieces that no space precedes.
         instead = np.flatnonzero(odd | self.spaces)
-        heads = split.take(pa.array(instead)).to_pylist()
-        parts += self.whole([column[k].as_py() if odd[k] else pieces[0] for k, pieces in zip(instead.tolist(), heads)])
+        parts += self.whole([column[k].as_py() if odd[k] else words[places[firsts[k]]] for k in instead.tolist()])
         places = places.astype(np.int64)
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         counts = sizes[places]
@@ -149,7 +148,9 @@ class Encoder:
         counts[firsts[instead]] = sizes[len(words) :]
         pool, ends = np.frombuffer(b"".join(parts), "<u4"), counts.cumsum()
         shift = (sizes.cumsum() - sizes)[places] - (ends - counts)
-        data = pool[np.repeat(shift, counts) + np.arange(ends[-1])].tobytes()
+        at = np.repeat(shift.astype(np.int32), counts)
+        at += np.arange(len(at), dtype=np.int32)
+        data = pool[at].tobytes()
         cuts = [0, *(ends[bounds - 1] * 4).tolist()]
         return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
